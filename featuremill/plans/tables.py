@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from featuremill.plans import accounts, geo, item_gold, item_silver, ranking, search_gold, search_silver
+from featuremill.sources.schema import FeatureTable
 
 # name -> (layer, primary key, builder)
-TABLES = {
+_CONTRACTS = {
     "account_category_events": ("silver", ("date", "account_id", "category_id"), search_silver.account_category_events),
     "item_orders": ("silver", ("date", "sku_group_id"), item_silver.item_orders),
     "ad_revenue_daily": ("silver", ("date", "sku_group_id"), item_silver.ad_revenue_daily),
@@ -58,3 +59,5 @@ TABLES = {
         "dataset", ("event_date", "install_id", "session_id", "query", "position"), ranking.search_ranking_dataset,
     ),
 }
+
+TABLES = {name: FeatureTable(name, *contract) for name, contract in _CONTRACTS.items()}

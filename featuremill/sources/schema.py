@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NumericType, StructField, StructType
+from pyspark.sql.types import DataType, NumericType, StructType
 
 
 @dataclass(frozen=True)
@@ -15,11 +15,14 @@ class FeatureTable:
     """Contract of one feature table."""
 
     name: str
+    layer: str
     primary_key: tuple[str, ...]
-    schema: StructType
     builder: Callable[..., DataFrame]
-    layer: str = "gold"
-    partition_column: str = "date"
+
+    @property
+    def partition_column(self) -> str | None:
+        """The snapshot part of the key; None for dictionaries without one."""
+        return next((k for k in self.primary_key if k in ("date", "calculated_at", "event_date")), None)
 
     @property
     def entity_keys(self) -> tuple[str, ...]:
@@ -104,9 +107,3 @@ def fill_by_type(df: DataFrame, named: dict | None = None, skip: Sequence[str] =
             c = F.coalesce(c, F.lit(0).cast(f.dataType))
         out.append(c.alias(f.name))
     return df.select(*out)
-
-
-def struct_of(spec: str) -> StructType:
-    """Schema from DDL text, e.g. ``"date date, sku_id bigint"``."""
-    schema = StructType.fromDDL(spec)
-    return StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
