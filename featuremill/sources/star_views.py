@@ -164,7 +164,8 @@ class StarViews:
             "date_add(date'2023-10-24', pmod(datediff(l_shipdate, date'1995-01-01'), 100)) as dt",
             "l_partkey as sku_id",
             "l_quantity as quantity_active_eod",
-            "cast(l_extendedprice * (1 - l_discount) as decimal(18,2)) as sell_price_eod",
+            "cast(cast(l_extendedprice as decimal(18,2)) * (100 - cast(round(l_discount * 100) as int)) * 0.01"
+            " as decimal(18,4)) as sell_price_eod",
             "cast(l_extendedprice as decimal(18,2)) as full_price_eod",
         )
 
