@@ -49,6 +49,16 @@ def parent_smoothed(hits: Column | str, trials: Column | str, parent_rate: Colum
     return (_dbl(hits) + F.lit(strength) * parent_rate) / (_dbl(trials) + F.lit(strength))
 
 
+def stable_mean(value: Column | str) -> Column:
+    """Mean whose last digits do not depend on the order of the rows.
+
+    Sums of doubles change with the order in which tasks deliver them. The sum
+    is taken in decimals with 8 fraction digits, so a re-run gives equal bits.
+    """
+    x = F.col(value) if isinstance(value, str) else value
+    return F.try_divide(F.sum(x.try_cast("decimal(38,8)")).cast("double"), F.count(x))
+
+
 def shrunk_rate(rate: Column | str, n: Column | str, parent_rate: Column | str, k: float) -> Column:
     """Weighted mean of own rate (weight n) and parent rate (weight k).
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from featuremill.functions.dates import (
     BUSINESS_TZ, between_instants, business_date, day, ts, utc_midnight,
 )
-from featuremill.functions.ratios import ratio_if_positive
+from featuremill.functions.ratios import ratio, ratio_if_positive, stable_mean
 from featuremill.operators.outcomes import current_streak, upper_median
 from featuremill.operators.rows import first_n
 from featuremill.plans.item_gold import serving_projection
@@ -167,11 +167,11 @@ def account_asof_history(history: DataFrame, as_of: date, tz: str = BUSINESS_TZ)
         F.max_by(
             F.struct("payment_type", "is_postpaid", "order_city_id", "order_region_id"), when
         ).alias("last_order"),
-        F.avg(ticket).alias("avg_ticket_win"),
+        stable_mean(ticket).alias("avg_ticket_win"),
         upper_median(ticket).alias("median_ticket_win"),
         F.stddev_pop(ticket).alias("std_ticket_win"),
         F.max(ticket).alias("max_ticket_win"),
-        F.avg(F.col("n_items").cast("double")).alias("avg_items_per_order_win"),
+        ratio(F.sum("n_items"), F.count("n_items")).alias("avg_items_per_order_win"),
         F.countDistinct("delivery_point_id").alias("n_distinct_dp_win"),
         F.countDistinct("order_city_id").alias("n_distinct_city_win"),
         F.min("order_date").alias("first_order_date_win"),

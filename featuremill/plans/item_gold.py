@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from featuremill.functions.dates import (
     BUSINESS_TZ, Bound, day, day_start, trailing_sums, ts, utc_midnight,
 )
-from featuremill.functions.ratios import prior_mean_smoothed, ratio, ratio_if_positive, ratio_or_zero, shrunk_rate
+from featuremill.functions.ratios import prior_mean_smoothed, ratio, ratio_if_positive, ratio_or_zero, shrunk_rate, stable_mean
 from featuremill.operators.rows import first_row, with_group_totals
 from featuremill.plans.item_silver import FAIR_RETURN_CAUSES, PROMOTION_PREFIX, latest_discount_order
 from featuremill.plans.search_gold import WINDOWS
@@ -154,7 +154,7 @@ def discounted_prices_by_group(prices: DataFrame, calculated_at: datetime) -> Da
             & F.col("promotion_id").isNotNull()
         )
         .groupBy(F.col("sku_group_id").cast("bigint").alias("sku_group_id"), "promotion_id")
-        .agg(*[f(c).alias(f"{tag}_{c}") for c in names for tag, f in (("min", F.min), ("max", F.max), ("avg", F.avg))])
+        .agg(*[f(c).alias(f"{tag}_{c}") for c in names for tag, f in (("min", F.min), ("max", F.max), ("avg", stable_mean))])
         .select(
             ts(calculated_at).alias("calculated_at"), "sku_group_id", "promotion_id",
             *[f"{tag}_{c}" for c in names for tag in ("min", "max", "avg")],
@@ -184,7 +184,7 @@ def price_features(prices: DataFrame, sku: DataFrame, as_of: date) -> DataFrame:
     d, low = F.col("date"), F.col("min_full_price_eod").cast("double")
 
     def past(w: int) -> Column:
-        return F.avg(F.when((d >= day(first_of[w])) & (d <= day(last_past)), low)).alias(f"past_{w}")
+        return stable_mean(F.when((d >= day(first_of[w])) & (d <= day(last_past)), low)).alias(f"past_{w}")
 
     # One scan of 32 days and one aggregation give today's row, yesterday's price and both averages.
     per_item = (
@@ -213,7 +213,7 @@ def price_features(prices: DataFrame, sku: DataFrame, as_of: date) -> DataFrame:
     )
     placed = with_group_totals(
         per_item.join(pairs, "sku_group_id"), ["category_id"],
-        {"category_mean_sell_price": F.avg("today.avg_sell")},
+        {"category_mean_sell_price": stable_mean("today.avg_sell")},
     )
     return placed.select(
         day(as_of).alias("date"), "sku_group_id", "category_mean_sell_price",

@@ -427,5 +427,5 @@ class StarViews:
             self.table("orders")
             .selectExpr("datediff(o_orderdate, date'1995-01-01') % 180 as n")
             .distinct()
-            .selectExpr("date_add(date'2023-08-05', n) as date", "1D / (n % 4 + 1) as usd_rate")
+            .selectExpr("date_add(date'2023-08-05', n) as date", "1D / (n % 2 + 1) as usd_rate")
         )

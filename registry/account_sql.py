@@ -25,7 +25,7 @@ _money = lambda c, col="gmv_generated": f"CAST(sum(CASE WHEN {c} = 1 THEN {col}
 _last = f"{{'a': coalesce(returned_at, {EPOCH}), 'b': order_item_id}}"
 _rate = lambda a, b: f"CASE WHEN {b} > 0 THEN CAST({a} AS DOUBLE) / {b} END"
 
-ASOF = f"""
+ASOF_CTES = f"""
 h AS (SELECT *, nullif(return_cause, '') AS rc, real_order_item_status AS st,
     issued_at IS NULL AND returned_at IS NOT NULL AND delivered_at IS NOT NULL AS nis, issued_at IS NOT NULL AND returned_at IS NOT NULL AS iss
   FROM v_history WHERE account_id > 0),
@@ -56,7 +56,7 @@ a AS (SELECT account_id, count(*) AS n_orders_win, sum(dlo) AS ndo, sum(res) AS
     sum(pp) AS npp, sum(ins) AS nins, sum(CASE WHEN pp = 1 THEN gc ELSE 0 END) AS ppc, sum(CASE WHEN pp = 1 THEN gd - gf ELSE 0 END) AS ppd,
     sum(CASE WHEN pp = 0 AND ins = 0 THEN gc ELSE 0 END) AS prc, sum(CASE WHEN pp = 0 AND ins = 0 THEN gd - gf ELSE 0 END) AS prd,
     arg_min(pp, {{'a': ots, 'b': order_id}}) AS fpp, arg_max_null(pt, {{'a': ots, 'b': order_id}}) AS lpt, arg_max(pp, {{'a': ots, 'b': order_id}}) AS lpp,
-    avg(gg) AS at, -quantile_disc(-gg, 0.5) AS mt, stddev_pop(gg) AS sdt, max(gg) AS xt, avg(CAST(n_items AS DOUBLE)) AS ai, count(DISTINCT dp) AS ndp, count(DISTINCT city) AS ncity,
+    CAST(sum(CAST(gg AS DECIMAL(38,8))) AS DOUBLE) / count(gg) AS avt, -quantile_disc(-gg, 0.5) AS mt, stddev_pop(gg) AS sdt, max(gg) AS xt, avg(CAST(n_items AS DOUBLE)) AS ai, count(DISTINCT dp) AS ndp, count(DISTINCT city) AS ncity,
     arg_max_null(city, {{'a': ots, 'b': order_id}}) AS lcity, arg_max_null(reg, {{'a': ots, 'b': order_id}}) AS lreg, min(od) AS fod, max(od) AS lod
   FROM o GROUP BY account_id)"""
 
@@ -77,7 +77,7 @@ SELECT a.account_id, {_big([('n_orders_win', 'n_orders_win'), ('ndo', 'n_deliver
   CAST(date_diff('day', CAST(fts + INTERVAL 5 HOUR AS DATE), {DS}) AS INTEGER) AS days_since_first_nonbuyout,
   CAST(date_diff('day', CAST(lts + INTERVAL 5 HOUR AS DATE), {DS}) AS INTEGER) AS days_since_last_nonbuyout, ltype AS last_nonbuyout_type, lcause AS last_nonbuyout_cause,
   {_rate('npp', 'n_orders_win')} AS postpaid_share_win, {_rate('nins', 'n_orders_win')} AS installment_share_win, {_rate('ppc', 'ppd')} AS buyout_rate_postpaid, {_rate('prc', 'prd')} AS buyout_rate_prepaid,
-  fpp AS first_order_in_win_is_postpaid, lpt AS last_order_payment_type, lpp AS last_order_is_postpaid, at AS avg_ticket_win, mt AS median_ticket_win, sdt AS std_ticket_win,
+  fpp AS first_order_in_win_is_postpaid, lpt AS last_order_payment_type, lpp AS last_order_is_postpaid, avt AS avg_ticket_win, mt AS median_ticket_win, sdt AS std_ticket_win,
   xt AS max_ticket_win, ai AS avg_items_per_order_win, ndp AS n_distinct_dp_win, ncity AS n_distinct_city_win, lcity AS last_order_city_id, lreg AS last_order_region_id,
   fod AS first_order_date_win, lod AS last_order_date_win, CAST(date_diff('day', lod, {DS}) AS INTEGER) AS days_since_last_order_win,
   CAST(date_diff('day', fod, {DS}) AS INTEGER) AS tenure_days_win, CASE WHEN fod <= DATE '2023-08-08' THEN 1 ELSE 0 END AS history_left_censored
@@ -92,11 +92,11 @@ cr AS (SELECT account_id, """ + ", ".join(
   WHERE g < TIMESTAMP '2024-01-31 19:00:00' GROUP BY account_id)"""
 
 HISTORY_SQL = f"""
-WITH {ASOF.strip()}, {CREATED.strip()}, asof AS ({SELECT.strip()})
-SELECT {DS} AS date, asof.*, cr.* EXCLUDE (account_id), o_life.* EXCLUDE (account_id, date),
+WITH {ASOF_CTES.strip()}, {CREATED.strip()}, hist AS ({SELECT.strip()})
+SELECT {DS} AS date, hist.*, cr.* EXCLUDE (account_id), o_life.* EXCLUDE (account_id, date),
   CAST(date_diff('day', first_order_date_ever, {DS}) AS INTEGER) AS tenure_days_true, CAST(date_diff('day', registration_date, {DS}) AS INTEGER) AS days_since_registration,
   CASE WHEN first_order_date_ever IS NULL THEN NULL WHEN first_order_date_ever < {DS} - 182 THEN 1 ELSE 0 END AS history_left_censored_true
-FROM asof LEFT JOIN cr USING (account_id) LEFT JOIN o_life USING (account_id)"""
+FROM hist LEFT JOIN cr USING (account_id) LEFT JOIN o_life USING (account_id)"""
 
 DOUBLES = [
     "buyout_rate_money_win", "buyout_rate_money_90d", "buyout_rate_money_30d", "buyout_rate_items_win", "buyout_rate_orders_win",

@@ -73,7 +73,7 @@ def compare(spark_df, con, sql: str) -> tuple[str, int]:
             if x == y:
                 continue
             if isinstance(x, (int, float)) and isinstance(y, (int, float)) and math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-9):
-                status = "close"
+                status = f"close in {c}: {x!r} {y!r}"
                 continue
             return f"values differ in {c}: spark {x!r} oracle {y!r}; row {dict(zip(cols, a))} vs {dict(zip(cols, b))}"[:1500], len(s_rows)
     return (status if not odd else f"{status}, types {odd[:6]}"), len(s_rows)

@@ -94,7 +94,7 @@ sf AS (SELECT q, r,
     {', '.join(f"sum(CASE WHEN ring <= {k} AND age <= {w} THEN n ELSE 0 END) AS o{k}_{w}, sum(CASE WHEN ring <= {k} AND age <= {w} THEN usd ELSE 0 END) AS g{k}_{w}, count(DISTINCT CASE WHEN ring <= {k} AND age <= {w} AND isd THEN cp.id END) AS u{k}_{w}" for k in RINGS for w in WINDOWS)}
   FROM cp JOIN (SELECT *, date_diff('day', date, {DS}) AS age FROM dpo) o ON o.id = cp.id WHERE age BETWEEN 1 AND 90 GROUP BY q, r)
 SELECT {DS} AS date, {cell('t.q', 't.r')} AS h3_index, lower(to_hex({cell('t.q', 't.r')})) AS h3_string, coalesce(md1, CAST(10000 AS DOUBLE)) AS min_dist_to_dp_m, coalesce(md2, CAST(10000 AS DOUBLE)) AS min_dist_to_inshop_m,
-  {', '.join(f"CAST(coalesce(o{k}_{w}, 0) AS BIGINT) AS orders_r{k}_h{w}, round(coalesce(g{k}_{w}, CAST(0 AS DOUBLE)), 3) AS gmv_r{k}_h{w}, CAST(coalesce(u{k}_{w}, 0) AS BIGINT) AS unique_dp_r{k}_h{w}" for k in RINGS for w in WINDOWS)}
+  {', '.join(f"CAST(coalesce(o{k}_{w}, 0) AS BIGINT) AS orders_r{k}_h{w}, round(coalesce(g{k}_{w}, CAST(0 AS DOUBLE)), 4) AS gmv_r{k}_h{w}, CAST(coalesce(u{k}_{w}, 0) AS BIGINT) AS unique_dp_r{k}_h{w}" for k in RINGS for w in WINDOWS)}
 FROM t LEFT JOIN md ON md.q = t.q AND md.r = t.r LEFT JOIN sf ON sf.q = t.q AND sf.r = t.r"""
 
 _geo_num = [f"population_r{k}" for k in RINGS] + [f"pedestrian_traffic_index_r{k}" for k in RINGS]

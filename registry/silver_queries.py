@@ -19,10 +19,15 @@ SCORE_DAY_1, SCORE_DAY_2 = date(2024, 1, 15), date(2024, 1, 16)
 CAUSES = "('MISSING', 'DEFECTED', 'BAD_QUALITY', 'WRONG_ITEM', 'PHOTO_MISMATCH', 'CONTENT')"
 
 
-def rounded(df, digits: int = 6):
+def rounded(df, digits: int = 6, only=None):
     """Doubles rounded: sums of doubles depend on their order in the last digits."""
     return df.select(
-        *[F.round(f.name, digits).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name) for f in df.schema.fields]
+        *[
+            F.round(f.name, digits).alias(f.name)
+            if f.dataType.typeName() == "double" and (only is None or f.name in only)
+            else F.col(f.name)
+            for f in df.schema.fields
+        ]
     )
 
 

@@ -174,7 +174,7 @@ SELECT {cell('c_custkey % 15', 'c_custkey // 15 % 15')} AS h3_index, c_custkey %
   TIMESTAMP '2024-01-29 10:00:00' + to_days(CAST(c_nationkey % 2 AS INTEGER)) AS inserted_at FROM customer""",
     "v_rates": """
 SELECT DISTINCT DATE '2023-08-05' + CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) % 180 AS INTEGER) AS date,
-  1.0 / (date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) % 180 % 4 + 1) AS usd_rate FROM orders""",
+  1.0 / (date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) % 180 % 2 + 1) AS usd_rate FROM orders""",
     "v_off": """
 SELECT dq, dr, (abs(dq) + abs(dr) + abs(dq + dr)) // 2 AS ring FROM range(-5, 6) a(dq), range(-5, 6) b(dr)
 WHERE abs(dq + dr) <= 5""",
