@@ -19,9 +19,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str] = ("date",)) -> None:
-    """Replace exactly the partitions present in ``df``; other partitions stay."""
+    """Replace exactly the partitions present in ``df``; other partitions stay.
+
+    Rows are rebalanced by partition value before the write: adaptive execution
+    merges small partitions and splits large ones, so neither many tiny files
+    nor one huge task comes out.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *partition_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
