@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from featuremill.sources.star_views import StarViews
-from registry.gold_queries import EXTRA, GOLD
+from registry.gold_queries import GOLD
+from registry.kernel_queries import KERNELS, ROWS, SCANS
+from registry.relational_queries import AGGREGATES, EXTRA, JOINS, QUALITY, RE_AIMED
 from registry.silver_queries import SILVER
 from registry.views_sql import with_views
 
@@ -16,6 +18,6 @@ def _bind(build: Callable[[StarViews], DataFrame]) -> Callable[[SparkSession, st
     return lambda spark, sf_dir: build(StarViews(spark, sf_dir))
 
 
-_ALL = {**SILVER, **GOLD}
+_ALL = {**SILVER, **GOLD, **SCANS, **KERNELS, **ROWS, **JOINS, **AGGREGATES, **RE_AIMED, **QUALITY}
 QUERIES = {name: _bind(build) for name, (build, _) in _ALL.items()}
 ORACLES = {name: with_views(sql, EXTRA) for name, (_, sql) in _ALL.items() if sql is not None}
