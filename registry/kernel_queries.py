@@ -30,7 +30,10 @@ from registry.workspace import fresh_dir
 
 D = silver.D
 DS = "DATE '2024-01-31'"
-N = F.count(F.lit(1)).alias("n")
+
+
+def _n():
+    return F.count(F.lit(1)).alias("n")
 
 
 def _union(frames) -> DataFrame:
@@ -41,7 +44,7 @@ def _union(frames) -> DataFrame:
 
 def k02(v):
     return _union(
-        scan.trailing(v.sku_eod, D, 7, b, "dt").groupBy("dt").agg(N).select(F.lit(b.name).alias("bound"), "dt", "n")
+        scan.trailing(v.sku_eod, D, 7, b, "dt").groupBy("dt").agg(_n()).select(F.lit(b.name).alias("bound"), "dt", "n")
         for b in Bound
     )
 
@@ -64,14 +67,14 @@ def k09(v):
     v.table("customer").select("c_custkey", "c_mktsegment").write.option("compression", "gzip").json(path)
     lines = scan.json_lines(v.spark, path, "c_custkey bigint, c_mktsegment string")
     return lines.groupBy("c_mktsegment").agg(
-        N, F.sum("c_custkey").alias("keys"), F.max(F.col("source_file").endswith(".json.gz").cast("int")).alias("gz")
+        _n(), F.sum("c_custkey").alias("keys"), F.max(F.col("source_file").endswith(".json.gz").cast("int")).alias("gz")
     )
 
 
 def k10(v):
     cols = ["sku_id", "promotion_id", "created_at"]
     both = scan.live_and_history(v.dynamic_discount, silver.discounts(v), g.NOW, g.HISTORY_DAYS, cols)
-    return both.groupBy("promotion_id").agg(N, F.max("created_at").alias("last"))
+    return both.groupBy("promotion_id").agg(_n(), F.max("created_at").alias("last"))
 
 
 def k11(v):
@@ -79,7 +82,7 @@ def k11(v):
     sink.overwrite_partitions(silver.stock(v), path)
     one = scan.partition(v.spark.read.parquet(path), D).withColumn("total_stock", F.col("total_stock") + 1)
     sink.overwrite_partitions(one, path)
-    return v.spark.read.parquet(path).groupBy("date").agg(N, F.sum("total_stock").alias("total"))
+    return v.spark.read.parquet(path).groupBy("date").agg(_n(), F.sum("total_stock").alias("total"))
 
 
 def k12(v):
@@ -89,7 +92,7 @@ def k12(v):
     sink.overwrite_partitions(prices, path, keys)
     again = prices.where("promotion_id = 'dyno_pricing_1'").withColumn("discount", F.lit(0.0))
     sink.overwrite_partitions(again, path, keys)
-    return v.spark.read.parquet(path).groupBy("promotion_id").agg(N, F.count_if(F.col("discount") > 0).alias("discounted"))
+    return v.spark.read.parquet(path).groupBy("promotion_id").agg(_n(), F.count_if(F.col("discount") > 0).alias("discounted"))
 
 
 def k13(v):
@@ -98,7 +101,7 @@ def k13(v):
     sink.append(seg.where("c_nationkey < 12"), path)
     # Only the keys that are not stored yet are added.
     sink.append_new_keys(seg, v.spark.read.parquet(path), ["c_mktsegment", "c_nationkey"], path)
-    return v.spark.read.parquet(path).groupBy("c_mktsegment").agg(N, F.countDistinct("c_nationkey").alias("keys"))
+    return v.spark.read.parquet(path).groupBy("c_mktsegment").agg(_n(), F.countDistinct("c_nationkey").alias("keys"))
 
 
 def k14(v):
@@ -121,7 +124,7 @@ def _ddl(v, ddl: str):
 
 def k16(v):
     copied = schema.cast_copy(v.ad_funnel, _ddl(v, "date date, sku_group_id bigint, impressions double"))
-    return copied.groupBy("date").agg(N, F.sum("impressions").alias("impressions"), F.count("sku_group_id").alias("ids"))
+    return copied.groupBy("date").agg(_n(), F.sum("impressions").alias("impressions"), F.count("sku_group_id").alias("ids"))
 
 
 def k17(v):
@@ -152,20 +155,20 @@ SCANS = {
     ),
     "k02_trailing_scan": (k02, K02_SQL),
     "k03_instant_scan": (
-        lambda v: scan.instants(v.clickstream, datetime(2024, 1, 3), datetime(2024, 1, 20, 12), "received_at").groupBy("event_type").agg(N),
+        lambda v: scan.instants(v.clickstream, datetime(2024, 1, 3), datetime(2024, 1, 20, 12), "received_at").groupBy("event_type").agg(_n()),
         "SELECT event_type, count(*) AS n FROM v_clicks WHERE received_at >= TIMESTAMP '2024-01-03' AND received_at < TIMESTAMP '2024-01-20 12:00:00' GROUP BY 1",
     ),
     "k04_received_scan": (
-        lambda v: scan.received_on(v.clickstream, date(2024, 1, 17)).groupBy("platform").agg(N),
+        lambda v: scan.received_on(v.clickstream, date(2024, 1, 17)).groupBy("platform").agg(_n()),
         "SELECT platform, count(*) AS n FROM v_clicks WHERE received_at >= TIMESTAMP '2024-01-17' AND received_at < TIMESTAMP '2024-01-18'"
         " AND logged_at >= TIMESTAMP '2024-01-14' AND logged_at < TIMESTAMP '2024-01-21' GROUP BY 1",
     ),
     "k05_checked_parquet": (
-        lambda v: scan.existing_parquet(v.spark, f"{v.sf_dir}/part.parquet").groupBy("p_type").agg(N),
+        lambda v: scan.existing_parquet(v.spark, f"{v.sf_dir}/part.parquet").groupBy("p_type").agg(_n()),
         "SELECT p_type, count(*) AS n FROM part GROUP BY 1",
     ),
     "k06_latest_snapshot": (
-        lambda v: scan.latest_snapshot(v.client_locations, "report_date", date(2024, 1, 25)).groupBy("report_date", "h3_index").agg(N),
+        lambda v: scan.latest_snapshot(v.client_locations, "report_date", date(2024, 1, 25)).groupBy("report_date", "h3_index").agg(_n()),
         "SELECT report_date, h3_index, count(*) AS n FROM v_locations WHERE report_date = (SELECT max(report_date) FROM v_locations WHERE report_date <= DATE '2024-01-25') GROUP BY 1, 2",
     ),
     "k07_latest_timestamp": (
@@ -234,7 +237,7 @@ def k27(v):
 
 
 def k28(v):
-    per = v.feedback.groupBy("product_id").agg(N, F.avg("rating").alias("r"))
+    per = v.feedback.groupBy("product_id").agg(_n(), F.avg("rating").alias("r"))
     overall = v.feedback.agg(ratios.ratio(F.sum("rating"), F.count("rating")).alias("all"))
     return rounded(per.crossJoin(overall).select("product_id", ratios.shrunk_rate("r", "n", "all", 30).alias("shrunk")), 9)
 
@@ -274,7 +277,7 @@ def k33(v):
     cost = F.coalesce(F.nanvl("forward_cost", F.lit(0.0)), F.lit(0.0))
     sku = v.sku.select(F.col("id").alias("sku_id"), size.alias("size"))
     placed = v.order_items.select("order_item_id", "sku_id").join(sku, "sku_id")
-    return v.costs.select("order_item_id", cost.alias("fwd")).join(placed, "order_item_id").groupBy("size").agg(N, F.sum("fwd").alias("fwd"))
+    return v.costs.select("order_item_id", cost.alias("fwd")).join(placed, "order_item_id").groupBy("size").agg(_n(), F.sum("fwd").alias("fwd"))
 
 
 def k36(v):
@@ -285,7 +288,7 @@ def k36(v):
 def k37(v):
     raw = v.costs.select("order_item_id", "forward_cost", "reverse_cost", F.lit(None).cast("string").alias("note"), F.lit(None).cast("double").alias("far"))
     filled = schema.fill_by_type(raw, named={"far": 10000.0}, skip=("order_item_id",))
-    return filled.groupBy("far").agg(N, F.sum("forward_cost").alias("f"), F.count("note").alias("notes"))
+    return filled.groupBy("far").agg(_n(), F.sum("forward_cost").alias("f"), F.count("note").alias("notes"))
 
 
 KERNELS = {
@@ -341,11 +344,11 @@ FROM (SELECT sku_group_id, {g.sums({'ad_clicks': 'c{w}', 'ad_impressions': 'i{w}
   sum(CASE WHEN isnan(forward_cost) THEN 0 ELSE coalesce(forward_cost, 0) END) AS fwd FROM v_costs JOIN v_order_items USING (order_item_id) JOIN v_sku s ON s.id = sku_id GROUP BY 1""",
     ),
     "k34_not_in_drops_nulls": (
-        lambda v: v.history_order_items.where(scan.not_in_keep_sql_nulls(F.col("return_cause"), items.FAIR_RETURN_CAUSES)).groupBy("return_cause").agg(N),
+        lambda v: v.history_order_items.where(scan.not_in_keep_sql_nulls(F.col("return_cause"), items.FAIR_RETURN_CAUSES)).groupBy("return_cause").agg(_n()),
         f"SELECT return_cause, count(*) AS n FROM v_history WHERE return_cause NOT IN {CAUSES} GROUP BY 1",
     ),
     "k35_price_match": (
-        lambda v: g.prices_now(v).groupBy("promotion_id").agg(N, F.count_if(F.col("discount") > 0).alias("applied"), F.count("calculated_for_price").alias("offered")),
+        lambda v: g.prices_now(v).groupBy("promotion_id").agg(_n(), F.count_if(F.col("discount") > 0).alias("applied"), F.count("calculated_for_price").alias("offered")),
         "SELECT promotion_id, count(*) AS n, count(*) FILTER (WHERE discount > 0) AS applied, count(calculated_for_price) AS offered FROM o_disc_prices GROUP BY 1",
     ),
     "k36_sparse_pairs": (
@@ -357,7 +360,7 @@ FROM (SELECT sku_group_id, {g.sums({'ad_clicks': 'c{w}', 'ad_impressions': 'i{w}
         "SELECT CAST(10000 AS DOUBLE) AS far, count(*) AS n, sum(CASE WHEN isnan(forward_cost) THEN 0 ELSE coalesce(forward_cost, 0) END) AS f, CAST(0 AS BIGINT) AS notes FROM v_costs",
     ),
     "k38_enum_map": (
-        lambda v: gold.price_index_status(v.price_index, D).groupBy("price_index_status").agg(N),
+        lambda v: gold.price_index_status(v.price_index, D).groupBy("price_index_status").agg(_n()),
         """SELECT CASE price_index_status WHEN 'CHEAPEST_AMONG_CLUSTER' THEN 0 WHEN 'CHEAPEST_AMONG_COMPETITORS' THEN 1
   WHEN 'CHEAPEST_AMONG_COMPETITORS_AND_CLUSTER' THEN 2 END AS price_index_status, count(*) AS n FROM v_price_index WHERE price_index_status <> 'NO_BOOST' GROUP BY 1""",
     ),
@@ -378,7 +381,7 @@ def k40(v):
 def k41(v):
     keys = ["l_orderkey", "l_linenumber"]
     return v.table("lineitem").groupBy(*keys).agg(
-        N, F.min(F.struct("l_shipdate", "l_partkey", "l_suppkey")).alias("f")
+        _n(), F.min(F.struct("l_shipdate", "l_partkey", "l_suppkey")).alias("f")
     ).select(*keys, "n", F.col("f.l_shipdate").alias("first_ship"), F.col("f.l_partkey").alias("l_partkey"))
 
 
@@ -540,7 +543,7 @@ ROWS = {
         "SELECT account_id FROM v_order_items UNION SELECT account_id FROM v_clicks",
     ),
     "s03_array_and_scalar_rows": (
-        lambda v: search_silver.ranking_scores(v.ranking_events, datetime(2024, 1, 1), datetime(2024, 2, 1)).groupBy("query", "sku_group_id").agg(N, F.sum("score").alias("s")),
+        lambda v: search_silver.ranking_scores(v.ranking_events, datetime(2024, 1, 1), datetime(2024, 2, 1)).groupBy("query", "sku_group_id").agg(_n(), F.sum("score").alias("s")),
         f"WITH {silver._SCORES.strip()} SELECT query, sku_group_id, count(*) AS n, sum(score) AS s FROM scores GROUP BY 1, 2",
     ),
 }

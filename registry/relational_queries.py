@@ -28,7 +28,10 @@ from registry.workspace import fresh_dir
 
 D = silver.D
 DS = "DATE '2024-01-31'"
-N = F.count(F.lit(1)).alias("n")
+
+
+def _n():
+    return F.count(F.lit(1)).alias("n")
 
 
 # --- joins ---------------------------------------------------------------------------------------
@@ -45,14 +48,14 @@ def j01(v):
 
 def j02(v):
     looked = v.clickstream.join(_sku(v, F.col("sku_group_id").alias("mapped")), "sku_id", "left")
-    return looked.groupBy(F.coalesce("sku_group_id", "mapped", F.lit(0)).alias("sku_group_id")).agg(N)
+    return looked.groupBy(F.coalesce("sku_group_id", "mapped", F.lit(0)).alias("sku_group_id")).agg(_n())
 
 
 def j03(v):
     keyed = v.clickstream.join(v.product.select(F.col("id").alias("product_id"), F.col("category_id").alias("pc")), "product_id", "left").withColumn(
         "key", F.when(F.col("category_id") > 0, F.col("category_id")).otherwise(F.col("pc"))
     )
-    return keyed.join(v.category.select(F.col("id").alias("key"), "l1_category"), "key").groupBy("l1_category").agg(N)
+    return keyed.join(v.category.select(F.col("id").alias("key"), "l1_category"), "key").groupBy("l1_category").agg(_n())
 
 
 def j04(v):
@@ -84,7 +87,7 @@ def j06(v):
 
 def j07(v):
     asked = v.clickstream.groupBy("query").agg(F.countDistinct("install_id").alias("installs")).alias("a")
-    seen = v.clickstream.groupBy("query").agg(N).alias("b")
+    seen = v.clickstream.groupBy("query").agg(_n()).alias("b")
     return asked.join(seen, F.col("a.query").eqNullSafe(F.col("b.query"))).select("a.query", "installs", "n")
 
 
@@ -95,7 +98,7 @@ def j08(v):
 
 def j09(v):
     buyers = v.clickstream.where("event_type = 'ADD_TO_CART' and session_id is not null").select("session_id").distinct()
-    return v.clickstream.join(buyers, "session_id", "left_semi").groupBy("event_type").agg(N)
+    return v.clickstream.join(buyers, "session_id", "left_semi").groupBy("event_type").agg(_n())
 
 
 def j10(v):
@@ -122,7 +125,7 @@ def j13(v):
     orders = v.order_items.select("delivery_point_id", F.to_date("generated_at").alias("on"))
     opened = v.order_items.where("issued_at is not null").groupBy("delivery_point_id").agg(F.min(F.to_date("issued_at")).alias("opened"))
     # A join on the point first; the date range is a filter on the joined rows.
-    per_day = orders.groupBy("delivery_point_id", "on").agg(N)
+    per_day = orders.groupBy("delivery_point_id", "on").agg(_n())
     return per_day.join(opened, "delivery_point_id").where("on >= opened and datediff(on, opened) <= 60").groupBy("delivery_point_id").agg(F.sum("n").alias("n"))
 
 
@@ -133,7 +136,7 @@ def j14(v):
 
 
 def j15(v):
-    shown = v.clickstream.where("event_type = 'PRODUCT_IMPRESSION'").groupBy("install_id", "session_id", "sku_group_id", F.lower("query").alias("query")).agg(N)
+    shown = v.clickstream.where("event_type = 'PRODUCT_IMPRESSION'").groupBy("install_id", "session_id", "sku_group_id", F.lower("query").alias("query")).agg(_n())
     carts = v.clickstream.where("event_type = 'ADD_TO_CART'").select("install_id", "session_id", "sku_group_id", F.lower("query").alias("query")).distinct()
     keys = ["install_id", "session_id", "sku_group_id", "query"]
     return shown.join(carts.withColumn("hit", F.lit(1)), keys, "left").select(*keys, "n", F.coalesce("hit", F.lit(0)).alias("hit"))
@@ -268,7 +271,7 @@ def a06(v):
 
 def a07(v):
     levels = F.array(*[F.struct(F.lit(n).alias("level"), F.col(f"{n}_category").alias("category_id")) for n in ("l1", "l2", "l3", "l4")])
-    per = v.history_order_items.groupBy("category_id").agg(N).join(v.category.withColumnRenamed("id", "category_id"), "category_id")
+    per = v.history_order_items.groupBy("category_id").agg(_n()).join(v.category.withColumnRenamed("id", "category_id"), "category_id")
     return per.select("n", F.explode(levels).alias("s")).where("s.category_id > 0").groupBy("s.level", "s.category_id").agg(F.sum("n").alias("n"))
 
 
@@ -286,7 +289,7 @@ def a09(v):
 
 def a11(v):
     per = v.order_items.groupBy("delivery_point_id", "order_id").agg(F.max((F.col("order_item_status") == "COMPLETED").cast("int")).alias("c"))
-    return per.groupBy("delivery_point_id").agg(N, F.sum("c").alias("completed"))
+    return per.groupBy("delivery_point_id").agg(_n(), F.sum("c").alias("completed"))
 
 
 def a12(v):
@@ -311,7 +314,7 @@ def a16(v):
 
 
 def a18(v):
-    per = v.clickstream.where("query is not null").select("query", "install_id").distinct().groupBy("query").agg(N)
+    per = v.clickstream.where("query is not null").select("query", "install_id").distinct().groupBy("query").agg(_n())
     return per.where("n >= 20")
 
 
@@ -321,7 +324,7 @@ def a20(v):
 
 
 def a21(v):
-    per = v.order_items.groupBy("account_id", "order_id").agg(N, F.sum("item_quantity").alias("units"), F.max("gmv_generated").alias("top"))
+    per = v.order_items.groupBy("account_id", "order_id").agg(_n(), F.sum("item_quantity").alias("units"), F.max("gmv_generated").alias("top"))
     return per.groupBy("account_id").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("n").alias("lines"), F.max("units").alias("most_units"), F.max("top").cast("double").alias("top")
     )
@@ -447,7 +450,7 @@ R01_SQL = f"WITH p AS ({_R01_P}), a AS ({cell_of_sql('p', 'la', 'lo', 9, 'cell9'
 
 
 def r02(v):
-    return scatter(v.demography.select("h3_index", F.col("h3_index").alias("source")), "h3_index", 5, "neighbour").groupBy("source", "ring").agg(N)
+    return scatter(v.demography.select("h3_index", F.col("h3_index").alias("source")), "h3_index", 5, "neighbour").groupBy("source", "ring").agg(_n())
 
 
 def r04(v):
@@ -624,7 +627,7 @@ def d20(v):
     save_results(found, path)
     save_results(found.withColumn("dag_id", F.lit("weekly")), path)
     save_results(found, path)
-    return v.spark.read.parquet(path).groupBy("dag_id").agg(N, F.count_if(F.col("status") == "passed").alias("passed"))
+    return v.spark.read.parquet(path).groupBy("dag_id").agg(_n(), F.count_if(F.col("status") == "passed").alias("passed"))
 
 
 QUALITY["d19_runner"] = (d19, D19_SQL)
