@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,45 +17,49 @@ def last_before(
     keys: Sequence[str],
     ts: str,
     tie: str,
-    streams: Mapping[str, tuple[Column, Column]],
+    streams: Mapping[str, Callable[[Column], Column]],
 ) -> DataFrame:
-    """For each row and stream, the payload of the latest earlier row of that stream.
+    """For each row and stream, the latest earlier row of that stream in the group.
 
-    ``streams`` maps an output column to (membership predicate, payload struct).
-    This equals one ``lag`` per stream over that stream's rows, but all streams
-    share a single shuffle and sort.
+    ``streams`` maps an output column to a membership test on the row. The
+    result has the keys, ``ts``, ``tie``, the other columns packed as ``row``,
+    and per stream the ``row`` of the row before, or NULL. It equals one ``lag``
+    per stream over that stream's rows, with a single shuffle for all.
 
     Keys must not be NULL. A group is cut into hours: rows look back inside
-    their hour, and the last payload of each hour is carried over to the next
-    one. So one group never has to pass through one task, however many rows it
+    their hour, and the last row of each hour is carried over to the next one.
+    So one group never has to pass through one task, however many rows it
     holds, and the carried table has one row per group and hour.
     """
-    sliced = df.withColumn("_slice", hour_slice(F.col(ts)))
+    placed_by = [*keys, ts, tie]
     cell = [*keys, "_slice"]
-    order = [F.col(ts), F.col(tie)]
-    base = Window.partitionBy(*cell).orderBy(*order)
+    rest = [c for c in df.columns if c not in placed_by]
+    # Both uses of this frame below need exactly these columns, so they share the shuffle.
+    placed = df.select(
+        *placed_by, hour_slice(F.col(ts)).alias("_slice"), F.struct(*rest).alias("row")
+    ).repartition(*cell)
+
+    base = Window.partitionBy(*cell).orderBy(ts, tie)
     earlier = base.rowsBetween(Window.unboundedPreceding, -1)
     so_far = base.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    row = F.col("row")
+    member = {name: F.when(test(row), row) for name, test in streams.items()}
+    back = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
 
-    member = {name: F.when(pred, payload) for name, (pred, payload) in streams.items()}
-    framed = sliced.select(
-        "*",
-        *[F.last(c, ignorenulls=True).over(earlier).alias(f"_in_{n}") for n, c in member.items()],
+    tails = placed.select(
+        *cell,
         *[F.last(c, ignorenulls=True).over(so_far).alias(f"_thru_{n}") for n, c in member.items()],
         F.lead(F.lit(1)).over(base).isNull().alias("_tail"),
-    )
+    ).where("_tail")
+    carried = tails.select(
+        *cell, *[F.last(f"_thru_{n}", ignorenulls=True).over(back).alias(f"_carry_{n}") for n in member]
+    ).where(" OR ".join(f"_carry_{n} IS NOT NULL" for n in member))
 
-    back = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        framed.where("_tail")
-        .select(
-            *cell,
-            *[F.last(f"_thru_{n}", ignorenulls=True).over(back).alias(f"_carry_{n}") for n in member],
-        )
-        .where(" OR ".join(f"_carry_{n} IS NOT NULL" for n in member))
+    looked = placed.select(
+        *placed_by, "_slice", "row",
+        *[F.last(c, ignorenulls=True).over(earlier).alias(f"_in_{n}") for n, c in member.items()],
     )
-    out = framed.join(carried, cell, "left")
-    return out.select(
-        *df.columns,
+    return looked.join(carried, cell, "left").select(
+        *placed_by, "row",
         *[F.coalesce(F.col(f"_in_{n}"), F.col(f"_carry_{n}")).alias(n) for n in member],
     )

@@ -186,25 +186,19 @@ def price_features(prices: DataFrame, sku: DataFrame, as_of: date) -> DataFrame:
     def past(w: int) -> Column:
         return stable_mean(F.when((d >= day(first_of[w])) & (d <= day(last_past)), low)).alias(f"past_{w}")
 
+    today = {"avg_sell": "avg_sell_price_eod", "mid_sell": "median_sell_price_eod", "mid_full": "median_full_price_eod"}
     # One scan of 32 days and one aggregation give today's row, yesterday's price and both averages.
     per_item = (
         prices.where((d >= day(first_of[30])) & (d <= day(as_of)))
         .groupBy(F.col("sku_group_id").cast("bigint").alias("sku_group_id"))
         .agg(
-            F.max(
-                F.when(
-                    d == day(as_of),
-                    F.struct(
-                        F.col("avg_sell_price_eod").alias("avg_sell"),
-                        F.col("median_sell_price_eod").alias("mid_sell"),
-                        F.col("median_full_price_eod").alias("mid_full"),
-                    ),
-                )
-            ).alias("today"),
+            # One row per item and day, so max only picks it; plain columns keep the aggregation hashed.
+            F.max(F.when(d == day(as_of), 1)).alias("here"),
+            *[F.max(F.when(d == day(as_of), F.col(c))).alias(n) for n, c in today.items()],
             F.max(F.when(d == day(yesterday), low)).alias("low_yesterday"),
             past(14), past(30),
         )
-        .where("today is not null")
+        .where("here = 1")
     )
     pairs = (
         sku.select(F.col("sku_group_id").cast("bigint").alias("sku_group_id"), F.col("category_id").cast("bigint").alias("category_id"))
@@ -213,13 +207,13 @@ def price_features(prices: DataFrame, sku: DataFrame, as_of: date) -> DataFrame:
     )
     placed = with_group_totals(
         per_item.join(pairs, "sku_group_id"), ["category_id"],
-        {"category_mean_sell_price": stable_mean("today.avg_sell")},
+        {"category_mean_sell_price": stable_mean("avg_sell")},
     )
     return placed.select(
         day(as_of).alias("date"), "sku_group_id", "category_mean_sell_price",
-        F.log1p("today.avg_sell").alias("sell_price_eod"),
-        (F.col("today.mid_full") - F.col("today.mid_sell")).alias("abs_discount"),
-        ratio("today.mid_sell", "today.mid_full").alias("fraq_discount"),
+        F.log1p("avg_sell").alias("sell_price_eod"),
+        (F.col("mid_full") - F.col("mid_sell")).alias("abs_discount"),
+        ratio("mid_sell", "mid_full").alias("fraq_discount"),
         *[ratio("low_yesterday", f"past_{w}").alias(f"ratio_crnt_min_to_avg_min_full_price_{w}") for w in (14, 30)],
     )
 

@@ -101,66 +101,56 @@ def search_funnel_daily(events: DataFrame, sku: DataFrame, start: date, end: dat
     param = "$.event_parameters."
     rows = used.join(groups, "sku_id", "left").select(
         F.to_date("received_at").alias("date"),
+        "session_id",
+        # Events without a product look back at nothing: each is a group of its own.
+        F.coalesce(F.col("product_id").cast("string"), F.concat(F.lit("event "), "event_id")).alias("product"),
+        "logged_at", "event_id", "event_type",
+        F.col("product_id").isNotNull().alias("has_product"),
         F.col("install_id").cast("string").alias("install_id"),
-        "session_id", "product_id", "event_type", "logged_at", "event_id",
-        "widget_space_name", "widget_section_name",
-        F.struct(
-            "event_type",
-            F.coalesce(
-                F.when(F.col("sku_group_id") != 0, F.col("sku_group_id")), F.col("mapped_group"), F.lit(0)
-            ).cast("bigint").alias("sku_group_id"),
-            (
-                F.coalesce(F.get_json_object("event_properties", param + "is_category_full_matched"), F.lit("false"))
-                == "true"
-            ).alias("full_match"),
-            F.coalesce(
-                non_blank(F.col("query")),
-                non_blank(F.get_json_object("event_properties", param + "initial_query")),
-                F.lit(""),
-            ).alias("search_text"),
-            _section_or_zero(F.col("category_id"), F.col("widget_section_id")).alias("category_text"),
-            F.coalesce("widget_section_name", "widget_space_name").alias("section"),
-        ).alias("touch"),
-    )
-
-    def credited(touch: Column, place: Column, hit: str) -> list[Column]:
-        in_search = (place == SEARCH) & ~touch["full_match"]
-        return [
-            "date", "install_id",
-            touch["sku_group_id"].alias("sku_group_id"),
-            F.when(in_search, F.lit(SEARCH)).otherwise(F.lit(CATEGORY)).alias("space"),
-            F.when(in_search, touch["search_text"]).otherwise(touch["category_text"]).alias("uniqs"),
-            *[F.lit(int(name == hit)).alias(name) for name in ("sum_atc", "sum_clicks", "sum_impressions")],
-        ]
-
-    placed = F.col("touch")["section"].isin(SEARCH, CATEGORY)
-    shown = rows.where((F.col("event_type") == IMPRESSION) & placed).select(
-        *credited(F.col("touch"), F.col("widget_space_name"), "sum_impressions")
+        "widget_space_name",
+        F.coalesce("widget_section_name", "widget_space_name").alias("section"),
+        F.coalesce(
+            F.when(F.col("sku_group_id") != 0, F.col("sku_group_id")), F.col("mapped_group"), F.lit(0)
+        ).cast("bigint").alias("sku_group_id"),
+        (
+            F.coalesce(F.get_json_object("event_properties", param + "is_category_full_matched"), F.lit("false"))
+            == "true"
+        ).alias("full_match"),
+        F.coalesce(
+            non_blank(F.col("query")),
+            non_blank(F.get_json_object("event_properties", param + "initial_query")),
+            F.lit(""),
+        ).alias("search_text"),
+        _section_or_zero(F.col("category_id"), F.col("widget_section_id")).alias("category_text"),
     )
-    # Both look-backs ride on one shuffle by (day, session, product).
     looked_back = last_before(
-        rows.where(F.col("product_id").isNotNull()),
-        ["date", "session_id", "product_id"], "logged_at", "event_id",
+        rows, ["date", "session_id", "product"], "logged_at", "event_id",
         {
-            "before_click": (F.col("event_type").isin(IMPRESSION, VIEW), F.col("touch")),
-            "before_cart": (F.col("event_type").isin(IMPRESSION, CART), F.col("touch")),
+            "before_click": lambda r: r["event_type"].isin(IMPRESSION, VIEW),
+            "before_cart": lambda r: r["event_type"].isin(IMPRESSION, CART),
         },
     )
-
-    def reactions(kind: str, prev: str, hit: str) -> DataFrame:
-        touch = F.col(prev)
-        return looked_back.where(
-            (F.col("event_type") == kind)
-            & (touch["event_type"] == IMPRESSION)
-            & touch["section"].isin(SEARCH, CATEGORY)
-        ).select(*credited(touch, touch["section"], hit))
-
-    return (
-        shown.unionByName(reactions(VIEW, "before_click", "sum_clicks"))
-        .unionByName(reactions(CART, "before_cart", "sum_atc"))
-        .groupBy("date", "install_id", "sku_group_id", "space", "uniqs")
-        .agg(*[F.sum(c).cast("bigint").alias(c) for c in ("sum_atc", "sum_clicks", "sum_impressions")])
+    # Each event gives at most one credit: an impression to itself, a click or cart to
+    # the impression right before it.
+    row, kind = F.col("row"), F.col("row.event_type")
+    touch = (
+        F.when(kind == IMPRESSION, row)
+        .when((kind == VIEW) & row["has_product"], F.col("before_click"))
+        .when((kind == CART) & row["has_product"], F.col("before_cart"))
+    )
+    credited = looked_back.select("date", row["install_id"].alias("install_id"), kind.alias("kind"), touch.alias("t")).where(
+        (F.col("t.event_type") == IMPRESSION) & F.col("t.section").isin(SEARCH, CATEGORY)
     )
+    # Impressions are told apart by their space, reactions by the section of the impression.
+    place = F.when(F.col("kind") == IMPRESSION, F.col("t.widget_space_name")).otherwise(F.col("t.section"))
+    in_search = (place == SEARCH) & ~F.col("t.full_match")
+    hits = {"sum_atc": CART, "sum_clicks": VIEW, "sum_impressions": IMPRESSION}
+    return credited.groupBy(
+        "date", "install_id",
+        F.col("t.sku_group_id").alias("sku_group_id"),
+        F.when(in_search, F.lit(SEARCH)).otherwise(F.lit(CATEGORY)).alias("space"),
+        F.when(in_search, F.col("t.search_text")).otherwise(F.col("t.category_text")).alias("uniqs"),
+    ).agg(*[F.count_if(F.col("kind") == k).alias(name) for name, k in hits.items()])
 
 
 def query_item_daily_conversions(
@@ -191,14 +181,14 @@ def query_item_daily_conversions(
         # Rows without an item form groups of their own and are not part of the result.
         .where(F.col("sku_group_id").isNotNull())
     )
-    payload = F.struct("query", "widget_section_name")
     looked_back = last_before(
         rows, ["date", "session_id", "sku_group_id"], "logged_at", "event_id",
         {
-            "before_click": (F.lit(True), payload),
-            "before_cart": (F.col("event_type").isin(IMPRESSION, CART), payload),
+            "before_click": lambda r: F.lit(True),
+            "before_cart": lambda r: r["event_type"].isin(IMPRESSION, CART),
         },
     )
+    own = F.col("row")
 
     def side(prev: str, kind: str, name: str) -> Column:
         seen_before = F.col(prev).isNotNull()
@@ -206,17 +196,17 @@ def query_item_daily_conversions(
         prev_list = F.when(seen_before, F.col(prev)["widget_section_name"]).otherwise(F.lit("0"))
         return F.struct(
             F.lit(name).alias("side"),
-            F.when(F.col("query").isNull(), prev_query).otherwise(F.col("query")).alias("query"),
+            F.when(own["query"].isNull(), prev_query).otherwise(own["query"]).alias("query"),
             F.coalesce(
-                (F.col("event_type") == IMPRESSION) & (F.col("widget_section_name") == SEARCH), F.lit(False)
+                (own["event_type"] == IMPRESSION) & (own["widget_section_name"] == SEARCH), F.lit(False)
             ).alias("shown"),
-            F.coalesce((F.col("event_type") == kind) & (prev_list == SEARCH), F.lit(False)).alias("hit"),
+            F.coalesce((own["event_type"] == kind) & (prev_list == SEARCH), F.lit(False)).alias("hit"),
         )
 
     clicks = side("before_click", VIEW, "click")
-    carts = F.when(F.col("event_type").isin(IMPRESSION, CART), side("before_cart", CART, "cart"))
+    carts = F.when(own["event_type"].isin(IMPRESSION, CART), side("before_cart", CART, "cart"))
     both = looked_back.select(
-        "date", "platform", "sku_group_id", "session_id",
+        "date", own["platform"].alias("platform"), "sku_group_id", "session_id",
         F.explode(F.filter(F.array(clicks, carts), lambda s: s.isNotNull())).alias("s"),
     ).select(
         "date", "platform", "sku_group_id", "session_id", "s.query",

@@ -399,21 +399,20 @@ def _sessions(v):
 
 
 def w01(v):
-    keep = F.col("event_type").isin("PRODUCT_IMPRESSION", "PRODUCT_VIEW")
     out = attribution.last_before(
         _sessions(v), ["session_id", "product_id"], "logged_at", "event_id",
-        {"prev": (keep, F.struct("event_type", "query", "widget_space_name"))},
+        {"prev": lambda r: r["event_type"].isin("PRODUCT_IMPRESSION", "PRODUCT_VIEW")},
     )
-    return out.where("event_type = 'PRODUCT_VIEW'").select(
+    return out.where("row.event_type = 'PRODUCT_VIEW'").select(
         "event_id", F.col("prev.event_type").alias("prev_type"), F.col("prev.query").alias("prev_query"), F.col("prev.widget_space_name").alias("prev_space")
     )
 
 
 def w02(v):
     out = attribution.last_before(
-        _sessions(v), ["session_id", "product_id"], "logged_at", "event_id", {"prev": (F.lit(True), F.struct(F.lower("query").alias("q")))}
+        _sessions(v), ["session_id", "product_id"], "logged_at", "event_id", {"prev": lambda r: F.lit(True)}
     )
-    return out.select("event_id", F.when(F.col("prev").isNull(), F.lit("0")).otherwise(F.col("prev.q")).alias("prev_query"))
+    return out.select("event_id", F.when(F.col("prev").isNull(), F.lit("0")).otherwise(F.lower("prev.query")).alias("prev_query"))
 
 
 def _resolved(v):
