@@ -13,6 +13,7 @@ from featuremill.functions.dates import (
 from featuremill.functions.ratios import ratio, ratio_if_positive, stable_mean
 from featuremill.operators.outcomes import current_streak, upper_median
 from featuremill.operators.rows import first_n
+from featuremill.operators.staging import Stage, no_stage
 from featuremill.plans.item_gold import serving_projection
 from featuremill.plans.item_silver import FAIR_RETURN_CAUSES
 from featuremill.plans.search_silver import UNPLACED
@@ -119,9 +120,14 @@ def ts_epoch() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
-def account_asof_history(history: DataFrame, as_of: date, tz: str = BUSINESS_TZ) -> DataFrame:
-    """Buy-out features of every account of the snapshot."""
-    orders = order_outcomes(item_outcomes(history, as_of), as_of, tz)
+def account_asof_history(
+    history: DataFrame, as_of: date, tz: str = BUSINESS_TZ, stage: Stage = no_stage
+) -> DataFrame:
+    """Buy-out features of every account of the snapshot.
+
+    The orders are used five times; pass a ``stage`` to compute them once.
+    """
+    orders = stage(order_outcomes(item_outcomes(history, as_of), as_of, tz))
 
     def total(c: str, cond: Column | None = None) -> Column:
         value = F.col(c) if cond is None else F.when(cond, F.col(c))
@@ -275,14 +281,15 @@ def orders_created(order_items: DataFrame, as_of: date, tz: str = BUSINESS_TZ) -
 
 
 def account_buyout_history(
-    history: DataFrame, order_items: DataFrame, lifetime_facts: DataFrame, as_of: date, tz: str = BUSINESS_TZ
+    history: DataFrame, order_items: DataFrame, lifetime_facts: DataFrame, as_of: date, tz: str = BUSINESS_TZ,
+    stage: Stage = no_stage,
 ) -> DataFrame:
     """As-of history, creation counters and lifetime facts of each account of the snapshot."""
     facts = partition(lifetime_facts, as_of).drop("date")
     first_ever = F.col("first_order_date_ever")
     age = lambda c: F.datediff(day(as_of), c).cast("int")
     return (
-        account_asof_history(history, as_of, tz)
+        account_asof_history(history, as_of, tz, stage)
         .join(orders_created(order_items, as_of, tz), "account_id", "left")
         .join(facts, "account_id", "left")
         .select(

@@ -14,6 +14,7 @@ from featuremill.functions.dates import (
 )
 from featuremill.functions.ratios import prior_mean_smoothed, ratio, ratio_if_positive, ratio_or_zero, shrunk_rate, stable_mean
 from featuremill.operators.rows import first_row, with_group_totals
+from featuremill.operators.staging import Stage, no_stage
 from featuremill.plans.item_silver import FAIR_RETURN_CAUSES, PROMOTION_PREFIX, latest_discount_order
 from featuremill.plans.search_gold import WINDOWS
 from featuremill.sources.scan import live_and_history, partition, trailing
@@ -172,7 +173,7 @@ def price_index_status(index: DataFrame, on: date) -> DataFrame:
     )
 
 
-def price_features(prices: DataFrame, sku: DataFrame, as_of: date) -> DataFrame:
+def price_features(prices: DataFrame, sku: DataFrame, as_of: date, stage: Stage = no_stage) -> DataFrame:
     """Price level, discount, category mean, and yesterday's least price against its past averages.
 
     One row per item group and category. The 14- and 30-day averages end two
@@ -206,7 +207,7 @@ def price_features(prices: DataFrame, sku: DataFrame, as_of: date) -> DataFrame:
         .distinct()
     )
     placed = with_group_totals(
-        per_item.join(pairs, "sku_group_id"), ["category_id"],
+        stage(per_item.join(pairs, "sku_group_id")), ["category_id"],
         {"category_mean_sell_price": stable_mean("avg_sell")},
     )
     return placed.select(

@@ -18,6 +18,7 @@ from featuremill.functions.ratios import beta_smoothed, parent_smoothed, ratio,
 from featuremill.functions.text import canonical_query_key, has_text, normalise_query
 from featuremill.operators.canonical import attach_group_key, fan_out, query_key_map
 from featuremill.operators.rows import first_row, with_group_totals
+from featuremill.operators.staging import Stage, no_stage
 from featuremill.sources.scan import partition, trailing
 
 WINDOWS = (1, 3, 7, 14, 21, 30, 60, 90)
@@ -84,8 +85,13 @@ def search_conversion_v1(funnel: DataFrame, orders: DataFrame, as_of: date) -> D
     )
 
 
-def search_conversion_v2(funnel: DataFrame, orders: DataFrame, sku: DataFrame, as_of: date) -> DataFrame:
-    """As v1, with carts, returns, increments, category totals and shares, and recency."""
+def search_conversion_v2(
+    funnel: DataFrame, orders: DataFrame, sku: DataFrame, as_of: date, stage: Stage = no_stage
+) -> DataFrame:
+    """As v1, with carts, returns, increments, category totals and shares, and recency.
+
+    The item sums are used twice; pass a ``stage`` to compute them once.
+    """
     last = lambda c, name: F.max(F.when(F.col(c) > 0, F.col("date"))).alias(name)
     items = _item_windows(
         funnel, orders, as_of, WINDOWS,
@@ -96,7 +102,7 @@ def search_conversion_v2(funnel: DataFrame, orders: DataFrame, sku: DataFrame, a
         .groupBy(F.col("sku_group_id").cast("bigint").alias("sku_group_id"))
         .agg(F.max(F.col("category_id").cast("bigint")).alias("category_id"))
     )
-    placed = items.join(categories, "sku_group_id", "left")
+    placed = stage(items.join(categories, "sku_group_id", "left"))
     # Category sums are sums of the items' sums: the daily rows are not read again.
     full = with_group_totals(
         placed, ["category_id"],
@@ -155,10 +161,13 @@ def query_features(funnel: DataFrame, orders: DataFrame, as_of: date) -> DataFra
 
 
 def query_features_canonical(
-    funnel: DataFrame, orders: DataFrame, dictionary: DataFrame, as_of: date, version: str = "v1"
+    funnel: DataFrame, orders: DataFrame, dictionary: DataFrame, as_of: date, version: str = "v1", stage: Stage = no_stage
 ) -> DataFrame:
-    """The same sums per canonical group, repeated for every query of the group."""
-    keyed = attach_group_key(_query_sums(funnel, orders, as_of), query_key_map(dictionary, version))
+    """The same sums per canonical group, repeated for every query of the group.
+
+    The keyed query sums are used twice; pass a ``stage`` to compute them once.
+    """
+    keyed = stage(attach_group_key(_query_sums(funnel, orders, as_of), query_key_map(dictionary, version)))
     groups = keyed.groupBy("group_key").agg(*[F.sum(c).alias(c) for c in _query_columns()])
     members = keyed.where("in_funnel").select("group_key", "query", "has_query_id")
     return members.join(groups, "group_key").select(
@@ -243,9 +252,12 @@ def _item_totals(pairs: DataFrame) -> DataFrame:
     )
 
 
-def pair_features_v2(funnel: DataFrame, orders: DataFrame, as_of: date) -> DataFrame:
-    """As v1, with rates pulled to the item's own rate and shares of the item's totals."""
-    sums = _pair_sums(funnel, orders, as_of, smooth=True)
+def pair_features_v2(funnel: DataFrame, orders: DataFrame, as_of: date, stage: Stage = no_stage) -> DataFrame:
+    """As v1, with rates pulled to the item's own rate and shares of the item's totals.
+
+    The pair sums are used twice; pass a ``stage`` to compute them once.
+    """
+    sums = stage(_pair_sums(funnel, orders, as_of, smooth=True))
     # Totals come from the pair sums, and sparse pairs go before the join.
     pairs = sums.where("in_funnel").where(has_text(F.col("query")) & _dense_enough())
     features = {**_pair_ratios(), **_smoothed_pair_ratios()}
@@ -255,14 +267,16 @@ def pair_features_v2(funnel: DataFrame, orders: DataFrame, as_of: date) -> DataF
 
 
 def pair_features_canonical(
-    funnel: DataFrame, orders: DataFrame, dictionary: DataFrame, as_of: date, version: str = "v1", salts: int = 8
+    funnel: DataFrame, orders: DataFrame, dictionary: DataFrame, as_of: date, version: str = "v1", salts: int = 8,
+    stage: Stage = no_stage,
 ) -> DataFrame:
     """As v2 with queries merged by canonical group; every query of a group gets the group's rows.
 
     Item totals stay per item. Growth by the fan-out is inherent, so rows of a
-    group are dealt over ``salts`` tasks.
+    group are dealt over ``salts`` tasks. The pair sums are used three times;
+    pass a ``stage`` to compute them once.
     """
-    sums = _pair_sums(funnel, orders, as_of, smooth=True)
+    sums = stage(_pair_sums(funnel, orders, as_of, smooth=True))
     keyed = attach_group_key(sums.where(has_text(F.col("query"))), query_key_map(dictionary, version))
     measures = [c for c in sums.columns if c[-1].isdigit()]
     groups = (
@@ -309,7 +323,9 @@ def pair_latest_legacy(aggregated: DataFrame, as_of: date, days: int = 30) -> Da
     return latest.withColumn("date", day(as_of))
 
 
-def query_text_pair_features(funnel: DataFrame, as_of: date, legacy: bool = False) -> DataFrame:
+def query_text_pair_features(
+    funnel: DataFrame, as_of: date, legacy: bool = False, stage: Stage = no_stage
+) -> DataFrame:
     """Cart conversion of pairs by query text, and the pair's share of the query's carts.
 
     ``legacy`` divides the 90-day carts by the 60-day impressions, as older
@@ -320,7 +336,7 @@ def query_text_pair_features(funnel: DataFrame, as_of: date, legacy: bool = Fals
         .groupBy(F.col("sku_group_id").cast("bigint").alias("sku_group_id"), F.lower(F.trim("uniqs")).alias("query_text"))
         .agg(*trailing_sums({"sum_atc": "atc_{w}", "sum_impressions": "imp_{w}"}, WINDOWS, as_of, Bound.UP_TO))
     )
-    shared = with_group_totals(sums, ["query_text"], {f"all_atc_{w}": F.sum(f"atc_{w}") for w in WINDOWS})
+    shared = with_group_totals(stage(sums), ["query_text"], {f"all_atc_{w}": F.sum(f"atc_{w}") for w in WINDOWS})
     den = {w: (60 if legacy and w == 90 else w) for w in WINDOWS}
     return shared.select(
         day(as_of).alias("date"), "sku_group_id", "query_text",

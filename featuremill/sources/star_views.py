@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from featuremill.functions import hexgrid
 from featuremill.operators.rows import first_row
+from featuremill.operators.staging import Stage, no_stage
 
 ANCHOR = date(2024, 1, 31)
 
@@ -33,9 +34,10 @@ POI_NAMES = (
 class StarViews:
     """Lazy views over one directory of parquet tables."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+    def __init__(self, spark: SparkSession, sf_dir: str, stage: Stage = no_stage) -> None:
         self.spark = spark
         self.sf_dir = sf_dir
+        self.stage = stage
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")

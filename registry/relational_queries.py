@@ -92,8 +92,9 @@ def j07(v):
 
 
 def j08(v):
-    known = g.dictionary(v).where("query_id <> query_text").select("query_text")
-    return silver.funnel(v).where("space = 'SEARCH_RESULTS'").select(F.col("uniqs").alias("query_text")).distinct().join(known, "query_text", "left_anti")
+    funnel = v.stage(silver.funnel(v))
+    known = g.dictionary(v, funnel).where("query_id <> query_text").select("query_text")
+    return funnel.where("space = 'SEARCH_RESULTS'").select(F.col("uniqs").alias("query_text")).distinct().join(known, "query_text", "left_anti")
 
 
 def j09(v):
@@ -107,7 +108,7 @@ def j10(v):
 
 
 def j11(v):
-    sig = g.signal(v).select("key_type", "key_id", "n_delivered_90d")
+    sig = v.stage(g.signal(v)).select("key_type", "key_id", "n_delivered_90d")
     level = lambda t, key: sig.where(F.col("key_type") == t).select(F.col("key_id").alias(key), F.col("n_delivered_90d").alias(f"{t}_n"))
     return (
         level("sku", "sku_id").join(_sku(v, "product_id", "shop_id"), "sku_id")
@@ -143,10 +144,11 @@ def j15(v):
 
 
 def j16(v):
-    per = silver.funnel(v).where("space = 'SEARCH_RESULTS'").groupBy(text.normalise_query(F.col("uniqs")).alias("query"), "sku_group_id").agg(
+    funnel = v.stage(silver.funnel(v))
+    per = funnel.where("space = 'SEARCH_RESULTS'").groupBy(text.normalise_query(F.col("uniqs")).alias("query"), "sku_group_id").agg(
         F.sum("sum_impressions").alias("i")
     ).where(text.has_text(F.col("query")))
-    keyed = canonical.attach_group_key(per, canonical.query_key_map(g.dictionary(v), "v1"))
+    keyed = canonical.attach_group_key(per, canonical.query_key_map(g.dictionary(v, funnel), "v1"))
     groups = keyed.groupBy("group_key", "sku_group_id").agg(F.sum("i").alias("i"))
     members = keyed.select("group_key", "query").distinct()
     return canonical.fan_out(members, groups, "group_key", ["sku_group_id"], 8).select("query", "group_key", "sku_group_id", "i")
