@@ -83,14 +83,15 @@ def ring_offsets(k: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def neighbours(cell: Column, k: int) -> Column:
-    """ARRAY<STRUCT<cell, ring>> of all cells within k steps, itself at ring 0."""
-    # One parsed literal: building 91 structs call by call is slow on the driver.
+def ring_steps(k: int) -> Column:
+    """Literal ARRAY<STRUCT<step, ring>>: what to add to a cell to reach each cell within k steps.
+
+    Exploding this literal and adding stays inside generated code, unlike a lambda
+    over an array. It is one parsed expression, as building 91 structs call by
+    call is slow on the driver.
+    """
     steps = ", ".join(f"named_struct('step', {dq * _SPAN + dr}L, 'ring', {ring})" for dq, dr, ring in ring_offsets(k))
-    return F.transform(
-        F.expr(f"array({steps})"),
-        lambda s: F.struct((cell + s["step"]).alias("cell"), s["ring"].alias("ring")),
-    )
+    return F.expr(f"array({steps})")
 
 
 def ring_distance(a: Column, b: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featuremill.functions.hexgrid import neighbours
+from featuremill.functions.hexgrid import ring_steps
 
 
 def scatter(df: DataFrame, cell: str, k: int, centre: str = "h3_index", ring: str = "ring") -> DataFrame:
@@ -19,18 +19,38 @@ def scatter(df: DataFrame, cell: str, k: int, centre: str = "h3_index", ring: st
     with no join. Reduce ``df`` to one row per cell first.
     """
     rest = [c for c in df.columns if c != cell]
-    return df.select(*rest, F.explode(neighbours(F.col(cell), k)).alias("_n")).select(
-        *rest, F.col("_n.cell").alias(centre), F.col("_n.ring").alias(ring)
+    return df.select(*rest, cell, F.explode(ring_steps(k)).alias("_n")).select(
+        *rest, (F.col(cell) + F.col("_n.step")).alias(centre), F.col("_n.ring").alias(ring)
     )
 
 
-def cumulative_rings(
-    measures: Mapping[str, str], rings: Iterable[int], as_type: str = "bigint", ring: str = "ring"
-) -> list[Column]:
-    """Sums over ring <= r for every (measure, r); ``{r}`` is the slot in the output name."""
+def ring_sums(
+    df: DataFrame,
+    cell: str,
+    measures: Mapping[str, str],
+    rings: Iterable[int],
+    as_type: str = "bigint",
+    reduce: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Per centre: sums of each measure over ring <= r, and ``nearest``, the least ring with data.
+
+    ``measures`` maps a column to an output name with an ``{r}`` slot;
+    ``reduce`` adds other aggregates over all rows in reach, by output name; each
+    must be a minimum, since minima are taken again. Scattered rows are first
+    added up per (centre, ring), which is a handful of sums for each of the many
+    rows; only the at most ``k + 1`` rows left per centre go through the wide
+    ring conditions.
+    """
+    rings = list(rings)
+    extra = dict(reduce or {})
+    per_ring = (
+        scatter(df, cell, max(rings))
+        .groupBy("h3_index", "ring")
+        .agg(*[F.sum(m).alias(m) for m in measures], *[c.alias(n) for n, c in extra.items()])
+    )
     out = []
-    for source, pattern in measures.items():
+    for m, pattern in measures.items():
         for r in rings:
-            total = F.sum(F.when(F.col(ring) <= r, F.col(source)))
+            total = F.sum(F.when(F.col("ring") <= r, F.col(m)))
             out.append(F.coalesce(total, F.lit(0)).cast(as_type).alias(pattern.format(r=r)))
-    return out
+    return per_ring.groupBy("h3_index").agg(F.min("ring").alias("nearest"), *[F.min(n).alias(n) for n in extra], *out)

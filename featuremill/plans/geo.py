@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from featuremill.functions import hexgrid
 from featuremill.functions.dates import day
 from featuremill.functions.ratios import ratio_eps
-from featuremill.operators.rings import cumulative_rings, scatter
+from featuremill.operators.rings import ring_sums
 from featuremill.sources.scan import latest_snapshot
 from featuremill.sources.schema import fill_by_type
 
@@ -44,11 +44,9 @@ def hex_user_activity(activity: DataFrame, as_of: date) -> DataFrame:
     )
     measures = {f"{m}_{w}": f"{m}_r{{r}}_{w}d" for m in ("views", "orders") for w in WINDOWS}
     return (
-        scatter(per_cell, "h3_index", MAX_RING)
-        .groupBy("h3_index")
-        .agg(F.min("ring").alias("_nearest"), *cumulative_rings(measures, RINGS))
+        ring_sums(per_cell, "h3_index", measures, RINGS)
         # Centres are the cells with data of their own, which reach themselves at ring 0.
-        .where("_nearest = 0")
+        .where("nearest = 0")
         .select(day(as_of).alias("date"), "h3_index", *_names(measures))
     )
 
@@ -67,13 +65,9 @@ def hex_user_location(locations: DataFrame, as_of: date) -> DataFrame:
     users = latest_snapshot(counted, "report_date")
     measures = {"users": "users_r{r}"}
     return (
-        scatter(users, "h3_index", MAX_RING)
-        .groupBy("h3_index")
-        .agg(
-            F.min("ring").alias("_nearest"), F.max("report_date").alias("report_date"),
-            *cumulative_rings(measures, RINGS),
-        )
-        .where("_nearest = 0")
+        # All rows are of one snapshot, so its date is also the least one.
+        ring_sums(users, "h3_index", measures, RINGS, reduce={"report_date": F.min("report_date")})
+        .where("nearest = 0")
         .select(day(as_of).alias("date"), "h3_index", "report_date", *_names(measures))
     )
 
@@ -88,9 +82,7 @@ def hex_demography(demography: DataFrame, as_of: date, regions: DataFrame | None
         "h3_index", *[F.coalesce(c, F.lit(0.0)).cast("double").alias(c) for c in facts]
     )
     measures = {c: f"{out}_r{{r}}" for c, out in facts.items()}
-    out = (
-        scatter(base, "h3_index", MAX_RING).groupBy("h3_index").agg(*cumulative_rings(measures, RINGS, "double"))
-    )
+    out = ring_sums(base, "h3_index", measures, RINGS, "double")
     for lv in PARENT_LEVELS:
         parent = base.groupBy(hexgrid.parent_cell(F.col("h3_index"), lv).alias("_parent")).agg(
             *[F.sum(c).alias(f"{name}_l{lv}") for c, name in facts.items()]
@@ -119,7 +111,7 @@ def hex_poi_counts(poi: DataFrame, as_of: date, categories: Mapping[str, str] =
     )
     measures = {k: f"{k}_r{{r}}" for k in categories}
     return (
-        scatter(per_cell, "h3_index", MAX_RING).groupBy("h3_index").agg(*cumulative_rings(measures, RINGS))
+        ring_sums(per_cell, "h3_index", measures, RINGS)
         .select(day(as_of).alias("date"), "h3_index", *_names(measures))
     )
 
@@ -167,39 +159,40 @@ def hex_neighbour_orders(
         .join(opened, "delivery_point_id", "left")
         .join(per_point, "delivery_point_id", "left")
     )
-    near = scatter(points, "cell", MAX_RING)
-    centre = F.col("h3_index")
+    # Points not open yet count for nothing, but the cells around them are targets too.
     open_now = F.coalesce(F.col("opened") <= day(as_of), F.lit(False))
+    counted = points.select(
+        "cell", "lat", "lon",
+        *[(open_now & F.col(flag)).alias(flag) for flag in ("is_point", "in_shop")],
+        *[F.when(open_now, F.col(f"{m}_{w}")).alias(f"{m}_{w}") for m in ("orders", "gmv") for w in WINDOWS],
+        # A point occurs once per centre: counting points needs no distinct.
+        *[
+            (open_now & F.col("is_point") & (F.coalesce(f"orders_{w}", F.lit(0)) > 0)).cast("int").alias(f"unique_dp_{w}")
+            for w in WINDOWS
+        ],
+    )
+    centre = F.col("h3_index")
     gap = hexgrid.distance_m(hexgrid.centre_lat(centre), hexgrid.centre_lon(centre), F.col("lat"), F.col("lon"))
-
-    def within(r: int, extra: Column | None = None) -> Column:
-        cond = open_now & (F.col("ring") <= r)
-        return cond if extra is None else cond & extra
+    measures = {f"{m}_{w}": f"{m}_r{{r}}_h{w}" for m in ("orders", "gmv", "unique_dp") for w in WINDOWS}
+    near = ring_sums(
+        counted, "cell", measures, RINGS, "double",
+        reduce={f"_{flag}": F.min(F.when(F.col(flag), gap)) for flag in ("is_point", "in_shop")},
+    )
 
     def nearest(flag: str) -> Column:
-        least = F.coalesce(F.min(F.when(open_now & F.col(flag), gap)), F.lit(FAR_AWAY_M))
+        least = F.coalesce(F.col(f"_{flag}"), F.lit(FAR_AWAY_M))
         return F.when(least == 0, F.lit(FAR_AWAY_M)).otherwise(least)
 
-    # Each point occurs once per centre: counting points needs no distinct.
-    return near.groupBy("h3_index").agg(
+    return near.select(
+        day(as_of).alias("date"), "h3_index", hexgrid.cell_text(centre).alias("h3_string"),
         nearest("is_point").alias("min_dist_to_dp_m"),
         nearest("in_shop").alias("min_dist_to_inshop_m"),
         *[
-            F.coalesce(F.sum(F.when(within(r), F.col(f"orders_{w}"))), F.lit(0)).cast("bigint").alias(f"orders_r{r}_h{w}")
-            for r in RINGS for w in WINDOWS
-        ],
-        *[
-            F.coalesce(F.sum(F.when(within(r), F.col(f"gmv_{w}"))), F.lit(0.0)).alias(f"gmv_r{r}_h{w}")
-            for r in RINGS for w in WINDOWS
+            F.col(name).cast("double" if m == "gmv" else "bigint").alias(name)
+            for m in ("orders", "gmv", "unique_dp") for r in RINGS for w in WINDOWS
+            for name in [f"{m}_r{r}_h{w}"]
         ],
-        *[
-            F.count_if(F.coalesce(within(r, F.col("is_point") & (F.col(f"orders_{w}") > 0)), F.lit(False))).alias(f"unique_dp_r{r}_h{w}")
-            for r in RINGS for w in WINDOWS
-        ],
-    ).select(day(as_of).alias("date"), "h3_index", hexgrid.cell_text(centre).alias("h3_string"), *[
-        "min_dist_to_dp_m", "min_dist_to_inshop_m",
-        *[f"{m}_r{r}_h{w}" for m in ("orders", "gmv", "unique_dp") for r in RINGS for w in WINDOWS],
-    ])
+    )
 
 
 # Model names kept as copies of mart columns.

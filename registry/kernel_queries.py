@@ -13,7 +13,6 @@ from featuremill.functions import dates, hexgrid, ratios, text
 from featuremill.functions.dates import Bound
 from featuremill.operators import attribution, canonical, outcomes, rows
 from featuremill.operators.relevance import field_scores
-from featuremill.operators.rings import cumulative_rings, scatter
 from featuremill.operators.skew import salted_join
 from featuremill.plans import accounts, ranking
 from featuremill.plans import item_gold as gold

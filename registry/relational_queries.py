@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from featuremill.functions import hexgrid, ratios, text
 from featuremill.operators import canonical, outcomes, rows
 from featuremill.operators.relevance import field_scores
-from featuremill.operators.rings import cumulative_rings, scatter
+from featuremill.operators.rings import ring_sums, scatter
 from featuremill.operators.skew import salted_join
 from featuremill.plans import accounts, geo, ranking
 from featuremill.plans import item_silver as items
@@ -297,7 +297,7 @@ def a11(v):
 def a12(v):
     age = F.datediff(F.lit(D), "day")
     per = v.hex_activity.groupBy("h3_index").agg(*[F.coalesce(F.sum(F.when(age < w, F.col("daily_views"))), F.lit(0)).alias(f"v{w}") for w in (10, 20)])
-    return scatter(per, "h3_index", 2).groupBy("h3_index").agg(*cumulative_rings({f"v{w}": f"v{w}_r{{r}}" for w in (10, 20)}, (0, 1, 2)))
+    return ring_sums(per, "h3_index", {f"v{w}": f"v{w}_r{{r}}" for w in (10, 20)}, (0, 1, 2)).drop("nearest")
 
 
 def a13(v):
