@@ -310,7 +310,7 @@ KERNELS = {
     ),
     "k26_prior_mean_smoothing": (
         lambda v: _AD_BY(v).select("sku_group_id", ratios.prior_mean_smoothed("c", "i", gold.AD_PRIOR_MEAN, gold.AD_PRIOR_IMPRESSIONS).alias("r")),
-        "SELECT sku_group_id, (CAST('995' AS DOUBLE) + c) / (CAST(50 AS DOUBLE) + i) AS r FROM o_ad_by",
+        f"SELECT sku_group_id, ({dbl(gold.AD_PRIOR_MEAN * gold.AD_PRIOR_IMPRESSIONS)} + c) / (CAST(50 AS DOUBLE) + i) AS r FROM o_ad_by",
     ),
     "k27_parent_smoothing": (
         k27,
