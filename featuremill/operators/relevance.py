@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from featuremill.operators.skew import salted_join
+
 # Fixed values of the scoring formula.
 BM25_K1 = 1.2
 BM25_B = 0.5
@@ -43,11 +45,16 @@ def field_scores(
             F.array(*[F.struct(F.lit(f).alias("field"), tokens(F.col(f)).alias("words")) for f in fields])
         ).alias("f"),
     ).select(item, "f.field", "f.words")
-    lengths = long.select(item, "field", F.size("words").alias("length")).where("length > 0")
-    field_stats = lengths.groupBy("field").agg(
-        F.count(F.lit(1)).alias("n_docs"),
-        (F.sum("length").cast("double") / F.count(F.lit(1))).alias("avg_length"),
+    # Statistics per field are a map with one entry per given field, read as a scalar.
+    per_field = (
+        long.select("field", F.size("words").alias("length")).where("length > 0").groupBy("field").agg(
+            F.struct(
+                F.count(F.lit(1)).alias("n_docs"),
+                (F.sum("length").cast("double") / F.count(F.lit(1))).alias("avg_length"),
+            ).alias("s")
+        )
     )
+    stats = per_field.select(F.map_from_entries(F.collect_list(F.struct("field", "s")))).scalar()
     postings = (
         long.select(item, "field", F.size("words").alias("length"), F.explode("words").alias("term"))
         .groupBy(item, "field", "term")
@@ -58,18 +65,17 @@ def field_scores(
     terms = candidates.select(
         query, item, F.explode(F.array_distinct(tokens(F.col(query)))).alias("term")
     )
-    return (
-        terms.join(postings, [item, "term"])
-        .join(term_stats, ["field", "term"])
-        .join(field_stats, "field")
-        .select(
-            query,
-            item,
-            "field",
-            "term",
-            (
-                bm25_idf(F.col("n_docs"), F.col("n_with_term"))
-                * bm25_tf(F.col("freq"), F.col("length"), F.col("avg_length"))
-            ).alias("score"),
-        )
+    found = terms.join(postings, [item, "term"])
+    # A common term has very many rows and one row of statistics.
+    rated = salted_join(found, term_stats, ["field", "term"], spread_by=[query, item])
+    of_field = F.element_at(stats, F.col("field"))
+    return rated.select(
+        query,
+        item,
+        "field",
+        "term",
+        (
+            bm25_idf(of_field["n_docs"], F.col("n_with_term"))
+            * bm25_tf(F.col("freq"), F.col("length"), of_field["avg_length"])
+        ).alias("score"),
     )

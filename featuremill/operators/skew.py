@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,3 +30,22 @@ def salted_join(
     dealt = many.withColumn("_salt", F.pmod(F.hash(*spread_by), F.lit(salts)))
     repeated = few.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     return dealt.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
+def lookup_where(
+    many: DataFrame, dimension: DataFrame, key: str, need: Column, spread_by: Sequence[str]
+) -> DataFrame:
+    """Left join of ``dimension`` on ``key`` for the rows that need it; NULLs for all others.
+
+    Rows that need no lookup, or have no key, would pile up on few join keys
+    (NULL is one of them). They get a key of their own from ``spread_by`` and a
+    flag that matches nothing, so they are spread evenly and never meet the
+    dimension.
+    """
+    wanted = F.coalesce(need & F.col(key).isNotNull(), F.lit(False))
+    keyed = many.withColumns({
+        "_wanted": wanted,
+        "_key": F.when(wanted, F.col(key).cast("bigint")).otherwise(F.xxhash64(*spread_by)),
+    })
+    sought = dimension.withColumns({"_wanted": F.lit(True), "_key": F.col(key).cast("bigint")}).drop(key)
+    return keyed.join(sought, ["_key", "_wanted"], "left").drop("_key", "_wanted")

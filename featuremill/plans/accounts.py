@@ -178,8 +178,10 @@ def account_asof_history(
         F.stddev_pop(ticket).alias("std_ticket_win"),
         F.max(ticket).alias("max_ticket_win"),
         ratio(F.sum("n_items"), F.count("n_items")).alias("avg_items_per_order_win"),
-        F.countDistinct("delivery_point_id").alias("n_distinct_dp_win"),
-        F.countDistinct("order_city_id").alias("n_distinct_city_win"),
+        # Sets of points and cities are bounded by those tables; two distinct counts would
+        # repeat every order row three times.
+        F.size(F.collect_set("delivery_point_id")).alias("n_distinct_dp_win"),
+        F.size(F.collect_set("order_city_id")).alias("n_distinct_city_win"),
         F.min("order_date").alias("first_order_date_win"),
         F.max("order_date").alias("last_order_date_win"),
     )

@@ -57,12 +57,10 @@ def _names(measures: Mapping[str, str]) -> list[str]:
 
 def hex_user_location(locations: DataFrame, as_of: date) -> DataFrame:
     """Users within rings 0..5 on the newest snapshot up to the day."""
-    # Users are counted per cell and snapshot before the newest snapshot is picked.
-    counted = (
-        locations.where(F.col("report_date") <= day(as_of))
+    users = (
+        latest_snapshot(locations, "report_date", as_of)
         .groupBy("h3_index", "report_date").agg(F.count(F.lit(1)).alias("users"))
     )
-    users = latest_snapshot(counted, "report_date")
     measures = {"users": "users_r{r}"}
     return (
         # All rows are of one snapshot, so its date is also the least one.
@@ -134,19 +132,25 @@ def hex_neighbour_orders(
     placed = order_items.where(F.col("delivery_point_id") != 0)
     opened = placed.where(F.col("issued_on").isNotNull()).groupBy("delivery_point_id").agg(F.min("issued_on").alias("opened"))
     age = F.datediff(day(as_of), d)
-    # One row per point, day and order, so that distinct orders become a count.
-    orders = (
+    # One row per point, day and order, so that distinct orders become a count. The rate of
+    # the day is applied to the day's sum: the join sees one row per point and day.
+    per_day = (
         placed.where(
             F.col("status").isin("COMPLETED", "RETURNED")
             & (d >= day(as_of - timedelta(days=89))) & (d < day(as_of))
         )
-        .join(rates.select(F.col("date").alias("created_on"), "usd_rate"), "created_on", "left")
         .groupBy("delivery_point_id", "created_on", "order_id")
-        .agg(F.sum(F.col("amount").cast("double") * F.col("usd_rate")).alias("usd"))
+        .agg(F.sum("amount").alias("amount"))
+        .groupBy("delivery_point_id", "created_on")
+        .agg(F.count(F.lit(1)).alias("orders"), F.sum("amount").cast("double").alias("amount"))
+        .join(rates.select(F.col("date").alias("created_on"), "usd_rate"), "created_on", "left")
     )
-    per_point = orders.groupBy("delivery_point_id").agg(
-        *[F.count_if(age <= w).alias(f"orders_{w}") for w in WINDOWS],
-        *[F.coalesce(F.sum(F.when(age <= w, F.col("usd"))), F.lit(0.0)).alias(f"gmv_{w}") for w in WINDOWS],
+    per_point = per_day.groupBy("delivery_point_id").agg(
+        *[F.coalesce(F.sum(F.when(age <= w, F.col("orders"))), F.lit(0)).alias(f"orders_{w}") for w in WINDOWS],
+        *[
+            F.coalesce(F.sum(F.when(age <= w, F.col("amount") * F.col("usd_rate"))), F.lit(0.0)).alias(f"gmv_{w}")
+            for w in WINDOWS
+        ],
     )
     lat, lon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
     points = (

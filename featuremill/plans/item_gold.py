@@ -348,14 +348,14 @@ def sku_buyout_online(signal: DataFrame, sku: DataFrame, as_of: date) -> DataFra
     sig = partition(signal, as_of)
     level = lambda t: sig.where(F.col("key_type") == t)
     n90 = "n_delivered_90d"
-    overall = level("category").agg(
-        ratio(F.sum("n_completed_90d"), F.sum(n90)).alias("g_buyout"),
-        ratio(F.sum("n_no_show_90d"), F.sum(n90)).alias("g_no_show"),
-    )
-    category = level("category").crossJoin(overall).select(  # overall is one row
+    # Overall rates are scalar subqueries, not joins.
+    overall = {
+        c: level("category").select(ratio(F.sum(f"n_{c}_90d"), F.sum(n90))).scalar() for c in ("completed", "no_show")
+    }
+    category = level("category").select(
         F.col("key_id").alias("category_id"), F.col(n90).alias("cat_n_delivered_90d"),
-        shrunk_rate("buyout_rate_items_90d", n90, "g_buyout", SHRINKAGE_K).alias("category_buyout_rate_90d"),
-        shrunk_rate("no_show_rate_90d", n90, "g_no_show", SHRINKAGE_K).alias("category_no_show_rate_90d"),
+        shrunk_rate("buyout_rate_items_90d", n90, overall["completed"], SHRINKAGE_K).alias("category_buyout_rate_90d"),
+        shrunk_rate("no_show_rate_90d", n90, overall["no_show"], SHRINKAGE_K).alias("category_no_show_rate_90d"),
     )
 
     def parent(t: str, key: str, cols: dict[str, str]) -> DataFrame:

@@ -21,6 +21,7 @@ from featuremill.functions.text import has_text, lowered_key, non_blank
 from featuremill.operators.attribution import last_before
 from featuremill.operators.relevance import field_scores
 from featuremill.operators.rows import first_row, top_list
+from featuremill.operators.skew import lookup_where
 
 # Fixed values of the event model.
 IMPRESSION, VIEW, CART, FAVOURITE = "PRODUCT_IMPRESSION", "PRODUCT_VIEW", "ADD_TO_CART", "ADD_TO_FAVORITES"
@@ -57,9 +58,11 @@ def account_category_events(
             "account_id", "session_id", "product_id", "event_type", "category_id",
         )
     )
+    # Only events without a category of their own ask the product for one.
+    lacking = ~F.coalesce(F.col("category_id") > 0, F.lit(False))
     own = products.select(F.col("id").alias("product_id"), F.col("category_id").alias("product_category"))
     placed = (
-        used.join(own, "product_id", "left")
+        lookup_where(used, own, "product_id", lacking, ["account_id", "session_id", "product_id"])
         .withColumn(
             "own_category",
             F.when(F.col("category_id") > 0, F.col("category_id")).otherwise(F.col("product_category")),
@@ -99,7 +102,8 @@ def search_funnel_daily(events: DataFrame, sku: DataFrame, start: date, end: dat
     )
     groups = sku.select(F.col("id").alias("sku_id"), F.col("sku_group_id").alias("mapped_group")).distinct()
     param = "$.event_parameters."
-    rows = used.join(groups, "sku_id", "left").select(
+    lacking = F.coalesce(F.col("sku_group_id"), F.lit(0)) == 0
+    rows = lookup_where(used, groups, "sku_id", lacking, ["event_id"]).select(
         F.to_date("received_at").alias("date"),
         "session_id",
         # Events without a product look back at nothing: each is a group of its own.
@@ -163,15 +167,15 @@ def query_item_daily_conversions(
     before it. The cart side looks at impressions and carts only.
     """
     groups = sku.select(F.col("id").alias("sku_id"), F.col("sku_group_id").alias("mapped_group")).distinct()
+    used = events.where(
+        between_instants(F.col("received_at"), day_start(start), day_start(end))
+        # The empty event type is a real one: it can be the event before.
+        & F.col("event_type").isin(IMPRESSION, VIEW, CART, "")
+        & F.col("install_id").isNotNull()
+        & F.col("session_id").isNotNull()
+    )
     rows = (
-        events.where(
-            between_instants(F.col("received_at"), day_start(start), day_start(end))
-            # The empty event type is a real one: it can be the event before.
-            & F.col("event_type").isin(IMPRESSION, VIEW, CART, "")
-            & F.col("install_id").isNotNull()
-            & F.col("session_id").isNotNull()
-        )
-        .join(groups, "sku_id", "left")
+        lookup_where(used, groups, "sku_id", F.col("sku_group_id").isNull(), ["event_id"])
         .select(
             F.to_date("received_at").alias("date"),
             F.coalesce("sku_group_id", "mapped_group").cast("bigint").alias("sku_group_id"),

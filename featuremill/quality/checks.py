@@ -1,10 +1,10 @@
 """Data-quality tests as DataFrame expressions.
 
 Each test gives one row (test_key, failed_rows, observed): failed_rows > 0 is a
-failure, 0 a pass, < 0 means the test had nothing to compare with. All tests
-that only need aggregates of the table share one aggregation, hence one scan;
-tests on groups or on other tables add their own plan, and everything comes
-back as one DataFrame.
+failure, 0 a pass, < 0 means the test had nothing to compare with. Tests that
+only need aggregates share one aggregation over the rows they look at; tests on
+groups or on other tables add their own plan, and everything comes back as one
+DataFrame.
 """
 
 from __future__ import annotations
@@ -34,9 +34,14 @@ class Context:
     def part(self) -> Column:
         return F.col(self.settings.partition_column).cast("date")
 
-    def in_scope(self, spec: TestSpec) -> Column:
+    def scope_filter(self, spec: TestSpec) -> Column:
+        """The rows a test looks at, as a filter that can prune partitions."""
         scope = F.lit(True) if self.settings.scope == "table" else self.part == day(self.on)
-        return _true(scope if spec.where is None else scope & F.expr(spec.where))
+        return scope if spec.where is None else scope & F.expr(spec.where)
+
+    def in_scope(self, spec: TestSpec) -> Column:
+        """The same as a flag that is never NULL, for use inside aggregates."""
+        return _true(self.scope_filter(spec))
 
 
 def _true(c: Column) -> Column:
@@ -146,7 +151,7 @@ def _one(df: DataFrame, spec: TestSpec, failed: Column, observed: Column) -> Dat
 
 def _unique(df: DataFrame, spec: TestSpec, ctx: Context) -> DataFrame:
     keys = list(spec.params.get("columns") or ctx.settings.primary_key)
-    repeated = df.where(ctx.in_scope(spec)).groupBy(*keys).count().where("count > 1")
+    repeated = df.where(ctx.scope_filter(spec)).groupBy(*keys).count().where("count > 1")
     n = F.count(F.lit(1))
     return _one(repeated, spec, n, n)
 
@@ -159,23 +164,30 @@ def _distinct_between(df: DataFrame, spec: TestSpec, ctx: Context) -> DataFrame:
         bad.append(n < int(p["min"]))
     if p["max"] is not None:
         bad.append(n > int(p["max"]))
-    values = df.where(ctx.in_scope(spec)).select(*p["columns"]).distinct()
+    values = df.where(ctx.scope_filter(spec)).select(*p["columns"]).distinct()
     return _one(values, spec, F.when(_any(bad), 1).otherwise(0), n)
 
 
-def orphans(df: DataFrame, spec: TestSpec, ctx: Context) -> DataFrame:
-    """Rows whose non-NULL value is missing in the parent table."""
+def _parents(spec: TestSpec, ctx: Context) -> DataFrame:
     p = spec.params
     parent = ctx.references[p["to_table"]]
     if p["where"]:
         parent = parent.where(p["where"])
-    known = parent.select(F.col(p["to_column"]).alias(p["column"])).distinct()
-    return df.where(ctx.in_scope(spec) & F.col(p["column"]).isNotNull()).join(known, p["column"], "left_anti")
+    return parent.select(F.col(p["to_column"]).alias(p["column"])).distinct()
+
+
+def orphans(df: DataFrame, spec: TestSpec, ctx: Context) -> DataFrame:
+    """Rows whose non-NULL value is missing in the parent table."""
+    column = spec.params["column"]
+    return df.where(ctx.scope_filter(spec) & F.col(column).isNotNull()).join(_parents(spec, ctx), column, "left_anti")
 
 
 def _relationships(df: DataFrame, spec: TestSpec, ctx: Context) -> DataFrame:
-    n = F.count(F.lit(1))
-    return _one(orphans(df, spec, ctx), spec, n, n)
+    # Rows are counted per value before the anti join: a value that fills the table is one row.
+    column = spec.params["column"]
+    counted = df.where(ctx.scope_filter(spec) & F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    n = F.coalesce(F.sum("_n"), F.lit(0))
+    return _one(counted.join(_parents(spec, ctx), column, "left_anti"), spec, n, n)
 
 
 def _matches_reference(df: DataFrame, spec: TestSpec, ctx: Context) -> DataFrame:
@@ -185,7 +197,7 @@ def _matches_reference(df: DataFrame, spec: TestSpec, ctx: Context) -> DataFrame
     )
     if p["reference_where"]:
         other = other.where(p["reference_where"])
-    mine = df.where(ctx.in_scope(spec)).agg(F.count(F.lit(1)).alias("n"))
+    mine = df.where(ctx.scope_filter(spec)).agg(F.count(F.lit(1)).alias("n"))
     # Two one-row counts stacked and folded, so nothing has to be joined.
     both = mine.select("n", F.lit(0).cast("bigint").alias("m")).unionByName(
         other.agg(F.count(F.lit(1)).alias("m")).select(F.lit(0).cast("bigint").alias("n"), "m")
@@ -209,23 +221,41 @@ def check_frame(
 ) -> DataFrame:
     """(test_key, failed_rows, observed) for all tests of a table."""
     ctx = Context(settings, on, references or {})
-    shared = [(s, aggregate_test(s, ctx)) for s in settings.tests]
-    shared = [(s, pair) for s, pair in shared if pair is not None]
+    # Which rows the shared aggregations read: two days for growth and for tests of the
+    # partition, nothing but the dates for freshness, everything only for tests of the table.
+    two_days = df.where((ctx.part >= day(on - timedelta(days=1))) & (ctx.part <= day(on)))
+    dates = df.select(settings.partition_column)
+    groups: dict[str, tuple[DataFrame, list[tuple[TestSpec, Pair]]]] = {
+        "days": (two_days, []), "dates": (dates, []), "all": (df, []),
+    }
     frames = []
-    if shared:
-        one = df.agg(
-            *[
-                F.struct(
-                    F.lit(s.key).alias("test_key"),
-                    failed.cast("bigint").alias("failed_rows"),
-                    observed.cast("double").alias("observed"),
-                ).alias(f"t{i}")
-                for i, (s, (failed, observed)) in enumerate(shared)
-            ]
-        )
-        frames.append(one.select(F.inline(F.array(*[f"t{i}" for i in range(len(shared))]))))
-    frames += [PLAN_TESTS[s.name](df, s, ctx) for s in settings.tests if s.name in PLAN_TESTS]
-    return reduce(DataFrame.unionByName, frames)
+    for spec in settings.tests:
+        pair = aggregate_test(spec, ctx)
+        if pair is None:
+            frames.append(PLAN_TESTS[spec.name](df, spec, ctx))
+        elif spec.name == "freshness":
+            groups["dates"][1].append((spec, pair))
+        elif spec.name == "row_count_growth" or settings.scope == "partition":
+            groups["days"][1].append((spec, pair))
+        else:
+            groups["all"][1].append((spec, pair))
+    shared = [_aggregated(source, pairs) for source, pairs in groups.values() if pairs]
+    return reduce(DataFrame.unionByName, shared + frames)
+
+
+def _aggregated(df: DataFrame, tests: list[tuple[TestSpec, Pair]]) -> DataFrame:
+    """All given aggregate tests in one pass, one row per test."""
+    one = df.agg(
+        *[
+            F.struct(
+                F.lit(s.key).alias("test_key"),
+                failed.cast("bigint").alias("failed_rows"),
+                observed.cast("double").alias("observed"),
+            ).alias(f"t{i}")
+            for i, (s, (failed, observed)) in enumerate(tests)
+        ]
+    )
+    return one.select(F.inline(F.array(*[f"t{i}" for i in range(len(tests))])))
 
 
 def violating_rows(df: DataFrame, spec: TestSpec, ctx: Context) -> DataFrame | None:
@@ -234,7 +264,7 @@ def violating_rows(df: DataFrame, spec: TestSpec, ctx: Context) -> DataFrame | N
     n = ctx.settings.sample_rows
     if spec.name in ("primary_key_unique", "unique_combination"):
         columns = list(spec.params.get("columns") or keys)
-        return df.where(ctx.in_scope(spec)).groupBy(*columns).count().where("count > 1").limit(n)
+        return df.where(ctx.scope_filter(spec)).groupBy(*columns).count().where("count > 1").limit(n)
     if spec.name == "relationships":
         return orphans(df, spec, ctx).select(*dict.fromkeys([*keys, spec.params["column"]])).limit(n)
     bad = violation(spec, ctx)
@@ -242,7 +272,7 @@ def violating_rows(df: DataFrame, spec: TestSpec, ctx: Context) -> DataFrame | N
         return None
     p = spec.params
     about = [*p.get("columns", ()), *p.get("parts", ()), *[p[k] for k in ("column", "total") if k in p]]
-    return df.where(and_(ctx.in_scope(spec), bad)).select(*dict.fromkeys([*keys, *about])).limit(n)
+    return df.where(and_(ctx.scope_filter(spec), bad)).select(*dict.fromkeys([*keys, *about])).limit(n)
 
 
 def history_days(df: DataFrame, ctx: Context) -> DataFrame:

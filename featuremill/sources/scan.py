@@ -60,12 +60,12 @@ def existing_parquet(spark: SparkSession, path: str) -> DataFrame:
 def latest_snapshot(df: DataFrame, snapshot_col: str, up_to: date | None = None) -> DataFrame:
     """Rows of the newest snapshot, at or before ``up_to`` when given.
 
-    The newest value is one row joined back to the table: no driver round trip,
-    and an empty source simply gives an empty result.
+    The newest value is a scalar subquery: no driver round trip, the filter can
+    prune, and an empty source simply gives an empty result.
     """
     source = df if up_to is None else df.where(F.col(snapshot_col) <= day(up_to))
-    newest = source.agg(F.max(snapshot_col).alias(snapshot_col))
-    return source.join(newest, snapshot_col, "left_semi")
+    newest = source.select(F.max(snapshot_col)).scalar()
+    return source.where(F.col(snapshot_col) == newest)
 
 
 def latest_run(parts: DataFrame, keys: Sequence[str], run_col: str = "run_id") -> DataFrame:

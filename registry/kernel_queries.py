@@ -237,8 +237,8 @@ def k27(v):
 
 def k28(v):
     per = v.feedback.groupBy("product_id").agg(_n(), F.avg("rating").alias("r"))
-    overall = v.feedback.agg(ratios.ratio(F.sum("rating"), F.count("rating")).alias("all"))
-    return rounded(per.crossJoin(overall).select("product_id", ratios.shrunk_rate("r", "n", "all", 30).alias("shrunk")), 9)
+    overall = v.feedback.select(ratios.ratio(F.sum("rating"), F.count("rating"))).scalar()
+    return rounded(per.select("product_id", ratios.shrunk_rate("r", "n", overall, 30).alias("shrunk")), 9)
 
 
 def k29(v):

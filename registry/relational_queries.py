@@ -81,8 +81,8 @@ def j05(v):
 
 
 def j06(v):
-    overall = v.sku.agg(F.max("sell_price").cast("double").alias("top"))
-    return v.sku.crossJoin(overall).select("id", ratios.ratio("sell_price", "top").alias("share"))  # one-row side
+    top = v.sku.select(F.max("sell_price")).scalar()  # the one-row side, as a scalar subquery
+    return v.sku.select("id", ratios.ratio("sell_price", top).alias("share"))
 
 
 def j07(v):

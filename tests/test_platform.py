@@ -128,13 +128,16 @@ def test_relationships_ignore_null(spark):
     assert checked(spark, [(D, 1, 1.0), (D, None, 1.0), (D, 7, 1.0)], entry, refs={"p": parent}) == {"relationships[id]": (1, 1.0)}
 
 
-def test_aggregate_tests_share_one_scan(spark, tmp_path):
+def test_aggregate_tests_share_scans_and_prune(spark, tmp_path):
     path = str(tmp_path / "t")
-    frame(spark, ROWS).write.parquet(path)
+    frame(spark, ROWS).write.partitionBy("date").parquet(path)
     settings = load_settings(("date", "id"), {"tests": [
         {"name": "primary_key_unique", "enabled": False}, {"name": "non_negative", "columns": ["x"]}, {"name": "not_null", "columns": ["x"]}]})
-    plan = check_frame(spark.read.parquet(path), settings, D)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Relation [") == 1
+    plan = check_frame(spark.read.parquet(path), settings, D)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    # One scan of two days for the tests of the partition, one of the dates alone for freshness.
+    assert len(scans) == 2
+    assert any("2024-01-01" in s and "x:double" in s for s in scans) and any("ReadSchema: struct<>" in s for s in scans)
 
 
 def test_runner_status(spark):
