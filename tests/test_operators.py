@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from featuremill.operators import attribution, canonical, outcomes, relevance, rings, rows
-from featuremill.operators.skew import salted_join
+from featuremill.operators.skew import lookup_where, salted_join
 
 
 def hot_rows(n=900, seed=7):
@@ -159,3 +159,24 @@ def test_bm25_against_formula(spark):
                 expected[(i, term)] = idf * f / (f + 1.2 * (0.5 + 0.5 * len(words) / avg))
     assert got.keys() == expected.keys()
     assert all(got[k] == pytest.approx(v) for k, v in expected.items())
+
+
+def test_lookup_where_only_where_needed(spark):
+    many = spark.createDataFrame([(1, None, 5), (2, 9, 5), (3, None, None), (4, None, 6), (5, None, 5)], "id int, own int, key bigint")
+    dim = spark.createDataFrame([(5, 50), (7, 70)], "key bigint, mapped int")
+    out = lookup_where(many, dim, "key", F.col("own").isNull(), ["id"])
+    assert sorted((r.id, r.mapped) for r in out.collect()) == [(1, 50), (2, None), (3, None), (4, None), (5, 50)]
+
+
+def test_lookup_where_spreads_rows_without_a_key(spark):
+    many = spark.range(4000).select("id", F.lit(None).cast("bigint").alias("key"))
+    dim = spark.createDataFrame([(5, 50)], "key bigint, mapped int")
+    for conf in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(conf, "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r.n for r in lookup_where(many, dim, "key", F.lit(True), ["id"]).groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    finally:
+        for conf in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled"):
+            spark.conf.unset(conf)
+    assert len(sizes) == 8 and max(sizes) < 2 * 4000 / 8
