@@ -24,6 +24,6 @@ def text_array(json_text: Column) -> Column:
     return F.from_json(json_text, "array<string>")
 
 
-def unquoted_double(json_text: Column) -> Column:
-    """A bare or quoted JSON number as DOUBLE; NULL when it is neither."""
-    return F.regexp_replace(json_text, '^"|"$', "").try_cast("double")
+def unquoted(json_text: Column) -> Column:
+    """A scalar's text without the quotes around it."""
+    return F.regexp_replace(json_text, '^"|"$', "")

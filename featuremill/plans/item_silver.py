@@ -71,7 +71,8 @@ def _item_days(order_items: DataFrame, start: date, end: date, until_midnight: b
         on("issued_at", "completed", completed & recent("issued_at")),
         on("returned_at", "returned", recent("returned_at")),
     )
-    return near.select("*", F.explode(F.filter(roles, lambda r: r.isNotNull())).alias("_r")).select(
+    # The empty roles go after the explode: a filter stays in generated code, a lambda would not.
+    return near.select("*", F.explode(roles).alias("_r")).where("_r is not null").select(
         *near.columns, F.col("_r.date").alias("date"), F.col("_r.role").alias("role")
     )
 

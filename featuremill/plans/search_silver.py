@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from featuremill.functions.dates import (
     BUSINESS_TZ, between_instants, business_date, day, day_start, utc_midnight,
 )
-from featuremill.functions.jsonpaths import text_array, unquoted_double
+from featuremill.functions.jsonpaths import text_array, unquoted
 from featuremill.functions.ratios import ratio
 from featuremill.functions.text import has_text, lowered_key, non_blank
 from featuremill.operators.attribution import last_before
@@ -211,8 +211,8 @@ def query_item_daily_conversions(
     carts = F.when(own["event_type"].isin(IMPRESSION, CART), side("before_cart", CART, "cart"))
     both = looked_back.select(
         "date", own["platform"].alias("platform"), "sku_group_id", "session_id",
-        F.explode(F.filter(F.array(clicks, carts), lambda s: s.isNotNull())).alias("s"),
-    ).select(
+        F.explode(F.array(clicks, carts)).alias("s"),
+    ).where("s is not null").select(
         "date", "platform", "sku_group_id", "session_id", "s.query",
         (F.col("s.side") == "click").alias("click_side"),
         F.col("s.shown").alias("shown"), F.col("s.hit").alias("hit"),
@@ -330,19 +330,16 @@ def ranking_scores(
         F.get_json_object("external_features", path).alias("raw"),
     ).withColumn("scores", text_array(F.col("raw")))
     n = F.size("ranking_candidates")
-    # One array of doubles per event, whichever form the score has: a single explode follows.
-    parallel = F.when(
-        F.col("scores").isNotNull(),
-        F.when(F.size("scores") == n, F.transform("scores", lambda s: s.try_cast("double"))),
-    ).otherwise(F.array_repeat(unquoted_double(F.col("raw")), n))
+    # One array of texts per event, whichever form the score has: a single explode follows.
+    per_item = F.when(F.col("scores").isNotNull(), F.when(F.size("scores") == n, F.col("scores"))).otherwise(
+        F.array_repeat(unquoted(F.col("raw")), n)
+    )
     return (
-        used.withColumn("per_item", parallel)
-        .where("per_item is not null")
-        .select("fired_at", "query", F.explode(F.arrays_zip("ranking_candidates", "per_item")).alias("z"))
+        used.select("fired_at", "query", F.explode(F.arrays_zip("ranking_candidates", per_item.alias("s"))).alias("z"))
         .select(
             "fired_at", "query",
             F.col("z.ranking_candidates").try_cast("bigint").alias("sku_group_id"),
-            F.col("z.per_item").alias("score"),
+            F.col("z.s").try_cast("double").alias("score"),
         )
         .where("sku_group_id is not null and score is not null")
     )

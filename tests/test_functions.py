@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from featuremill.functions import dates, hexgrid, ratios, text
 from featuremill.functions.dates import Bound
-from featuremill.functions.jsonpaths import double_array_or_nulls, text_array, unquoted_double
+from featuremill.functions.jsonpaths import double_array_or_nulls, text_array, unquoted
 
 
 def one(spark, *columns):
@@ -105,9 +105,9 @@ def test_json_arrays(spark):
     j = F.lit('{"a": [1.5, 2], "s": "0.5", "n": 0.25}')
     got = one(
         spark, double_array_or_nulls(j, "$.a", F.array(F.lit(1), F.lit(2))), double_array_or_nulls(j, "$.zz", F.array(F.lit(1), F.lit(2))),
-        text_array(F.get_json_object(j, "$.s")), unquoted_double(F.get_json_object(j, "$.s")), unquoted_double(F.lit("x")),
+        text_array(F.get_json_object(j, "$.s")), unquoted(F.get_json_object(j, "$.s")), unquoted(F.lit("x")),
     )
-    assert got == [[1.5, 2.0], [None, None], None, 0.5, None]
+    assert got == [[1.5, 2.0], [None, None], None, "0.5", "x"]
 
 
 def test_hex_rings():
