@@ -7,6 +7,11 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# A group with more than this share of all rows is cut into hours. At most 1 / HOT_SHARE
+# groups can be, whatever the size of the data.
+HOT_SHARE = 0.001
+_WHOLE = -1
+
 
 def hour_slice(ts: Column) -> Column:
     return F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")) * 24 + F.hour(ts)
@@ -18,6 +23,8 @@ def last_before(
     ts: str,
     tie: str,
     streams: Mapping[str, Callable[[Column], Column]],
+    hot_share: float = HOT_SHARE,
+    members: DataFrame | None = None,
 ) -> DataFrame:
     """For each row and stream, the latest earlier row of that stream in the group.
 
@@ -26,40 +33,42 @@ def last_before(
     and per stream the ``row`` of the row before, or NULL. It equals one ``lag``
     per stream over that stream's rows, with a single shuffle for all.
 
-    Keys must not be NULL. A group is cut into hours: rows look back inside
-    their hour, and the last row of each hour is carried over to the next one.
-    So one group never has to pass through one task, however many rows it
-    holds, and the carried table has one row per group and hour.
+    Keys must not be NULL. Groups with more than ``hot_share`` of all rows are cut
+    into hours: rows look back inside their hour, and the last row of each hour
+    is carried over to the next one. So no group has to pass through one task,
+    and ordinary groups pay only for being counted. ``members`` may give the
+    keys of all rows from a cheaper frame for that count.
     """
     placed_by = [*keys, ts, tie]
     cell = [*keys, "_slice"]
     rest = [c for c in df.columns if c not in placed_by]
-    # Both uses of this frame below need exactly these columns, so they share the shuffle.
-    placed = df.select(
-        *placed_by, hour_slice(F.col(ts)).alias("_slice"), F.struct(*rest).alias("row")
-    ).repartition(*cell)
-
-    base = Window.partitionBy(*cell).orderBy(ts, tie)
-    earlier = base.rowsBetween(Window.unboundedPreceding, -1)
-    so_far = base.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    row = F.col("row")
-    member = {name: F.when(test(row), row) for name, test in streams.items()}
-    back = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-
-    tails = placed.select(
-        *cell,
-        *[F.last(c, ignorenulls=True).over(so_far).alias(f"_thru_{n}") for n, c in member.items()],
-        F.lead(F.lit(1)).over(base).isNull().alias("_tail"),
-    ).where("_tail")
-    carried = tails.select(
-        *cell, *[F.last(f"_thru_{n}", ignorenulls=True).over(back).alias(f"_carry_{n}") for n in member]
-    ).where(" OR ".join(f"_carry_{n} IS NOT NULL" for n in member))
+    members = (df if members is None else members).select(*keys)
+    many = F.lit(hot_share) * members.select(F.count(F.lit(1))).scalar()
+    counted = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # Bounded by 1 / hot_share rows, so the broadcast does not grow with the data.
+    hot = F.broadcast(counted.where(F.col("_n") > many).select(*keys, F.lit(True).alias("_hot")))
+    marked = df.join(hot, list(keys), "left").select(
+        *placed_by, *rest, F.when(F.col("_hot"), hour_slice(F.col(ts))).otherwise(_WHOLE).alias("_slice")
+    )
+    # Both uses of this frame below need all of its columns, so they share the shuffle.
+    placed = marked.repartition(*cell).select(*placed_by, "_slice", F.struct(*rest).alias("row"))
 
+    row, when = F.col("row"), F.struct(ts, tie)
+    earlier = Window.partitionBy(*cell).orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, -1)
     looked = placed.select(
         *placed_by, "_slice", "row",
-        *[F.last(c, ignorenulls=True).over(earlier).alias(f"_in_{n}") for n, c in member.items()],
+        *[F.last(F.when(test(row), row), ignorenulls=True).over(earlier).alias(f"_in_{n}") for n, test in streams.items()],
     )
+    # The slice is tested after the aggregation: tested before, it would change the shared shuffle.
+    tails = placed.groupBy(*cell).agg(
+        F.max("_slice").alias("_hour"),
+        *[F.max_by("row", F.when(test(row), when)).alias(f"_thru_{n}") for n, test in streams.items()],
+    ).where(F.col("_hour") != _WHOLE)
+    back = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = tails.select(
+        *cell, *[F.last(f"_thru_{n}", ignorenulls=True).over(back).alias(f"_carry_{n}") for n in streams]
+    ).where(" OR ".join(f"_carry_{n} IS NOT NULL" for n in streams))
     return looked.join(carried, cell, "left").select(
         *placed_by, "row",
-        *[F.coalesce(F.col(f"_in_{n}"), F.col(f"_carry_{n}")).alias(n) for n in member],
+        *[F.coalesce(F.col(f"_in_{n}"), F.col(f"_carry_{n}")).alias(n) for n in streams],
     )

@@ -103,11 +103,14 @@ def search_funnel_daily(events: DataFrame, sku: DataFrame, start: date, end: dat
     groups = sku.select(F.col("id").alias("sku_id"), F.col("sku_group_id").alias("mapped_group")).distinct()
     param = "$.event_parameters."
     lacking = F.coalesce(F.col("sku_group_id"), F.lit(0)) == 0
-    rows = lookup_where(used, groups, "sku_id", lacking, ["event_id"]).select(
+    group = [
         F.to_date("received_at").alias("date"),
         "session_id",
         # Events without a product look back at nothing: each is a group of its own.
         F.coalesce(F.col("product_id").cast("string"), F.concat(F.lit("event "), "event_id")).alias("product"),
+    ]
+    rows = lookup_where(used, groups, "sku_id", lacking, ["event_id"]).select(
+        *group,
         "logged_at", "event_id", "event_type",
         F.col("product_id").isNotNull().alias("has_product"),
         F.col("install_id").cast("string").alias("install_id"),
@@ -133,6 +136,7 @@ def search_funnel_daily(events: DataFrame, sku: DataFrame, start: date, end: dat
             "before_click": lambda r: r["event_type"].isin(IMPRESSION, VIEW),
             "before_cart": lambda r: r["event_type"].isin(IMPRESSION, CART),
         },
+        members=used.where("product_id is not null").select(*group),
     )
     # Each event gives at most one credit: an impression to itself, a click or cart to
     # the impression right before it.

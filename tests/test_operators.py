@@ -10,19 +10,20 @@ from featuremill.operators import attribution, canonical, outcomes, relevance, r
 from featuremill.operators.skew import lookup_where, salted_join
 
 
-def hot_rows(n=900, seed=7):
+def skewed_rows(n=900, seed=7):
     """(key, day offset in minutes, kind, id): half of the rows belong to key 0."""
     rng = random.Random(seed)
     return [(0 if rng.random() < 0.5 else rng.randrange(1, 40), rng.randrange(0, 3000), rng.choice("abc"), i) for i in range(n)]
 
 
-def test_last_before_equals_lag(spark):
-    data = hot_rows()
+@pytest.mark.parametrize("hot_share", [0.0, 0.1, 1.0])
+def test_last_before_equals_lag(spark, hot_share):
+    data = skewed_rows()
     df = spark.createDataFrame(data, "k int, m int, kind string, id int").withColumn(
         "ts", F.expr("cast('2024-01-01' as timestamp_ntz) + make_dt_interval(0, 0, m)")
     )
     got = attribution.last_before(
-        df, ["k"], "ts", "id", {"any": lambda r: F.lit(True), "only_a": lambda r: r["kind"] == "a"}
+        df, ["k"], "ts", "id", {"any": lambda r: F.lit(True), "only_a": lambda r: r["kind"] == "a"}, hot_share
     ).select("id", F.col("any.m").alias("m1"), F.col("only_a.m").alias("m2"))
     got = {r.id: (r.m1, r.m2) for r in got.collect()}
     expected = {}
@@ -107,7 +108,7 @@ def test_key_map_takes_the_least_id(spark):
 
 def test_streaks(spark):
     rng = random.Random(3)
-    data = [(k, t, i, int(rng.random() < 0.4)) for i, (k, t, _, _) in enumerate(hot_rows(400, 5))]
+    data = [(k, t, i, int(rng.random() < 0.4)) for i, (k, t, _, _) in enumerate(skewed_rows(400, 5))]
     data += [(500, 1, 9001, 1), (500, 2, 9002, 1), (501, 1, 9003, 0)]
     df = spark.createDataFrame(data, "k int, t int, id int, bad int")
     got = {r.k: (r.last_outcome, r.streak_len) for r in outcomes.current_streak(df, ["k"], ["t", "id"], "bad").collect()}
