@@ -48,7 +48,7 @@ def test_last_before_splits_a_hot_group(spark):
 
 
 def test_sliced_row_number_with_nulls(spark):
-    data = [(None if k == 3 else k, m, i) for k, m, _, i in hot_rows()]
+    data = [(None if k == 3 else k, m, i) for k, m, _, i in skewed_rows()]
     df = spark.createDataFrame(data, "k int, m int, id int")
     got = rows.sliced_row_number(df, ["k"], F.floor(F.col("m") / 100), [F.col("m"), F.col("id")], "n")
     got = {r.id: r.n for r in got.collect()}
@@ -74,11 +74,11 @@ def test_top_list_keeps_order(spark):
 
 
 def test_group_totals_equal_window(spark):
-    df = spark.createDataFrame([(k, m) for k, m, _, _ in hot_rows()], "k int, m int")
+    df = spark.createDataFrame([(k, m) for k, m, _, _ in skewed_rows()], "k int, m int")
     got = rows.with_group_totals(df, ["k"], {"t": F.sum("m")}).agg(F.sum("t")).first()[0]
     totals = Counter()
     n = Counter()
-    for k, m, _, _ in hot_rows():
+    for k, m, _, _ in skewed_rows():
         totals[k] += m
         n[k] += 1
     assert got == sum(totals[k] * n[k] for k in n)
@@ -86,7 +86,7 @@ def test_group_totals_equal_window(spark):
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_salted_join_equals_join(spark, how):
-    many = spark.createDataFrame([(k, i) for k, _, _, i in hot_rows()], "k int, id int")
+    many = spark.createDataFrame([(k, i) for k, _, _, i in skewed_rows()], "k int, id int")
     few = spark.createDataFrame([(k, f"n{k}") for k in range(0, 30)], "k int, name string")
     a = sorted(map(str, salted_join(many, few, ["k"], ["id"], 8, how).select("k", "id", "name").collect()))
     b = sorted(map(str, many.join(few, "k", how).select("k", "id", "name").collect()))
