@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from featuremill.export.features import FeatureGroup, export_frame
-from featuremill.functions import dates, hexgrid, ratios, text
+from featuremill.functions import dates, ratios, text
 from featuremill.functions.dates import Bound
-from featuremill.operators import attribution, canonical, outcomes, rows
-from featuremill.operators.relevance import field_scores
-from featuremill.operators.skew import salted_join
-from featuremill.plans import accounts, ranking
+from featuremill.operators import attribution, outcomes, rows
+from featuremill.plans import accounts
 from featuremill.plans import item_gold as gold
 from featuremill.plans import item_silver as items
 from featuremill.plans import search_gold as search
@@ -22,9 +20,8 @@ from featuremill.plans import search_silver
 from featuremill.sources import scan, schema, sink
 from registry import gold_queries as g
 from registry import silver_queries as silver
-from registry.geo_sql import LAT, LON, cell_of_sql, dbl
+from registry.geo_sql import dbl
 from registry.silver_queries import CAUSES, rounded
-from registry.views_sql import SHIFT, SPAN, cell
 from registry.workspace import fresh_dir
 
 D = silver.D

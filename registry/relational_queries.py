@@ -11,8 +11,7 @@ from featuremill.functions import hexgrid, ratios, text
 from featuremill.operators import canonical, outcomes, rows
 from featuremill.operators.relevance import field_scores
 from featuremill.operators.rings import ring_sums, scatter
-from featuremill.operators.skew import salted_join
-from featuremill.plans import accounts, geo, ranking
+from featuremill.plans import geo
 from featuremill.plans import item_silver as items
 from featuremill.quality.checks import check_frame
 from featuremill.quality.config import DqSettings, load_settings, make_spec
@@ -22,7 +21,7 @@ from registry import gold_queries as g
 from registry import silver_queries as silver
 from registry.geo_sql import LAT, LON, cell_of_sql, dbl
 from registry.kernel_queries import EXTRA as KERNEL_EXTRA
-from registry.silver_queries import CAUSES, rounded
+from registry.silver_queries import rounded
 from registry.views_sql import cell
 from registry.workspace import fresh_dir
 
