@@ -7,8 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremill.llm import decontamination, line_dedup
-from featuremill.llm.common import table
+from featuremill.llm import bag_minhash, byte_bpe, decontamination, kk_sharding, language_id, line_dedup, quality_rules, token_cache
+from featuremill.llm.common import crc_of_id, shared_path, table
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (crc_of_id() % 3 == 1).alias("held_out"))
+    profile = language_id.learn_profiles(docs.filter(~F.col("held_out")))
+    return language_id.identify(docs.drop("lang"), profile, carry=("doc_id", "held_out"))
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,11 +28,47 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.score_quality(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"
+    )
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bag_minhash.near_duplicate_classes(docs).select(F.col("doc").alias("doc_id"), "class_id", "class_size")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs), digest=True)
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # A cache of its own for every call: each run encodes all distinct texts.
+    counts = token_cache.count_tokens(docs, shared_path(spark, "token-cache"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return kk_sharding.shard_documents(docs).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocab = byte_bpe.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return byte_bpe.round_trip(docs, vocab).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 OP6_SQL = r"""
 WITH lines AS (
   SELECT doc_id, pos, line, lower_ascii AS key, length(lower_ascii) AS n
@@ -51,7 +93,13 @@ FROM marked GROUP BY doc_id
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
+    "op3_quality_rules": op3_quality_rules,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_line_dedup": op6_line_dedup,
+    "op7_token_counts": op7_token_counts,
+    "op8_sharding": op8_sharding,
+    "op9_byte_bpe": op9_byte_bpe,
 }
 ORACLES: dict[str, str] = {"op6_line_dedup": OP6_SQL}
