@@ -133,9 +133,10 @@ def keep_bitmaps(
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     runs = staged(_streamed(staged(_key_rows(source, min_chars), "line-keys"), min_docs), "line-runs")
     totals = runs.filter(F.col("kind") == TOTAL).groupBy("h").agg(F.sum("n_docs").alias("n"), F.max("doc").alias("top"))
+    # Two rows for each range at most, whatever the data: sent to the open rows, which one digest may fill.
     late = (
         runs.filter(F.col("kind") == OPEN)
-        .join(totals.filter(F.col("n") >= min_docs), "h")
+        .join(F.broadcast(totals.filter(F.col("n") >= min_docs)), "h")
         .filter(~F.col("doc").eqNullSafe(F.col("top")))
     )
     part = ["doc", "th", "n_lines", "at"]
