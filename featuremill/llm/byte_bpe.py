@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from featuremill.llm.common import map_texts
-from featuremill.llm.units import UnitMemo
+from featuremill.llm.units import UnitMemo, one_thread
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -73,17 +72,13 @@ def vocabulary(ranks_path: str, pattern: str) -> Vocabulary:
     return Vocabulary(made.to_str(), pieces)
 
 
-def split_safe(pattern: str) -> bool:
-    """Whether the pattern is the one that ``units`` may cut texts for."""
-    return re.sub(r"\s", "", pattern).endswith(r"|?\p{L}+|?\p{N}+|?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-
-
 class Coder:
     """Encodes and decodes inside one task."""
 
     def __init__(self, vocab: Vocabulary) -> None:
         from tokenizers import Tokenizer
 
+        one_thread()
         self.tokenizer, self.pieces = Tokenizer.from_str(vocab.tokenizer), vocab.pieces
         self.sizes = np.array([len(p or b"") for p in vocab.pieces], np.int64)
 
@@ -110,20 +105,31 @@ def _list_array(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *parts]), pa.int32()))
 
 
-def encode(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", offsets: bool = True) -> DataFrame:
-    """``docs`` with ``n_tokens``, ``ids`` and, with ``offsets``, ``char_starts``: the first character of each token."""
+def encode(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", offsets: bool = True, check: bool = False) -> DataFrame:
+    """``docs`` with ``n_tokens`` and ``ids``.
+
+    With ``offsets`` also ``char_starts``, the first character of each token; with ``check`` also ``decodes``, whether the ids
+    decode to the text.
+    """
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))]
     if offsets:
         fields.append(T.StructField("char_starts", T.ArrayType(T.IntegerType())))
+    if check:
+        fields.append(T.StructField("decodes", T.BooleanType()))
 
     def open_task():
         coder = Coder(vocab)
-        memo = coder.memo(lambda ids: np.array(ids, np.int32).tobytes())
+        memo = coder.memo(lambda ids: (np.array(ids, np.int32).tobytes(), coder.decode(ids)))
 
         def work(columns: dict[str, pa.Array], texts: list[bytes]) -> list[pa.Array]:
-            ids = [np.frombuffer(b"".join(units), np.int32) for units in memo.results([x.decode() for x in texts])]
+            ids, same = [], []
+            for text, units in zip(texts, memo.results(x.decode() for x in texts), strict=True):
+                ids.append(np.frombuffer(b"".join([u[0] for u in units]), np.int32))
+                same.append(b"".join([u[1] for u in units]) == text)
             made = [pa.array([len(x) for x in ids], pa.int64()), _list_array(ids)]
-            return [*made, _list_array([coder.char_starts(t, x) for t, x in zip(texts, ids, strict=True)])] if offsets else made
+            if offsets:
+                made.append(_list_array([coder.char_starts(t, x) for t, x in zip(texts, ids, strict=True)]))
+            return [*made, pa.array(same, pa.bool_())] if check else made
 
         return work
 
@@ -165,7 +171,7 @@ def round_trip(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", carry
 
         def work(columns: dict[str, pa.Array], texts: list[bytes]) -> list[pa.Array]:
             n, digests, decoded, same = [], [], [], []
-            for text, units in zip(texts, memo.results([x.decode() for x in texts]), strict=True):
+            for text, units in zip(texts, memo.results(x.decode() for x in texts), strict=True):
                 n.append(sum([u[0] for u in units]))
                 digests.append(hashlib.sha256(b" ".join([u[1] for u in units if u[0]])).hexdigest())
                 back = b"".join([u[2] for u in units])

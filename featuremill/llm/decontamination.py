@@ -239,7 +239,7 @@ def _search_block(docs: DataFrame, text: str, block: TestBlock, carry: list[str]
     def open_task():
         def work(columns: dict[str, pa.Array], texts: list[bytes]) -> list[pa.Array]:
             rows = [
-                {"n_words": n, "hit_spans": [{"start": int(a), "end": int(b)} for a, b in spans], "items": sorted(block.items[i] for i in items)}
+                {"n_words": n, "hit_spans": [{"start": int(a), "end": int(b)} for a, b in spans], "items": sorted({block.items[i] for i in items})}
                 for n, spans, items in Shard(texts, block).windows()
             ]
             return [pa.array(rows, to_arrow_type(FOUND))]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremill.llm import bag_minhash, byte_bpe, decontamination, kk_sharding, language_id, line_dedup, quality_rules, token_cache
+from featuremill.llm import bag_minhash, byte_bpe, decontamination, hmm_lm, kk_sharding, language_id, line_dedup, quality_rules, token_cache, toxicity
 from featuremill.llm.common import crc_of_id, shared_path, table
 
 
@@ -35,6 +35,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (crc_of_id() % 7 != 2).alias("training"))
+    return hmm_lm.score_documents(docs, "training").withColumn("held_out", ~F.col("training")).drop("training")
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bag_minhash.near_duplicate_classes(docs).select(F.col("doc").alias("doc_id"), "class_id", "class_size")
@@ -69,6 +74,14 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs, vocab).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (crc_of_id() % 5 == 0).alias("held_out"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(crc_of_id() % 5 != 0)
+    model = toxicity.learn(docs, labels)
+    scored = toxicity.score_documents(docs, model, carry=("doc_id", "held_out"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
+
+
 OP6_SQL = r"""
 WITH lines AS (
   SELECT doc_id, pos, line, lower_ascii AS key, length(lower_ascii) AS n
@@ -96,10 +109,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
     "op3_quality_rules": op3_quality_rules,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_line_dedup": op6_line_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_sharding": op8_sharding,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {"op6_line_dedup": OP6_SQL}

@@ -7,8 +7,9 @@ text there and encoding every piece on its own gives the same tokens, so each di
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 from typing import Any
 
@@ -23,21 +24,26 @@ def cut(text: str) -> tuple[str, list[str]]:
     return head, rest
 
 
+def one_thread() -> None:
+    """A task has one core: the tokenizers library must not start threads of its own."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
+
 class UnitMemo:
     """Results of ``encode`` by unit; holds at most about ``limit`` short units between calls."""
 
-    def __init__(self, encode: Callable[[list[str]], list[Any]], limit: int = 300_000, longest: int = 64) -> None:
+    def __init__(self, encode: Callable[[list[str]], list[Any]], limit: int = 150_000, longest: int = 64) -> None:
         self.encode, self.limit, self.longest = encode, limit, longest
         self.first: dict[str, Any] = {}
         self.spaced: dict[str, Any] = {}
 
     def _fill(self, memo: dict[str, Any], wanted: set[str], prefix: str) -> None:
         new = list(wanted - memo.keys())
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
+        for at in range(0, len(new), 10_000):
+            part = new[at : at + 10_000]
             memo.update(zip(part, self.encode([prefix + x for x in part]), strict=True))
 
-    def results(self, texts: list[str], chars: int = 4_000_000) -> Iterator[list[Any]]:
+    def results(self, texts: Iterable[str], chars: int = 1_000_000) -> Iterator[list[Any]]:
         """One list of unit results for each text; texts are taken together up to about ``chars`` characters."""
         todo = iter(texts)
         while part := list(_up_to(todo, chars)):
