@@ -1,280 +1,56 @@
-"""Data-quality tests as DataFrame expressions.
-
-Each test gives one row (test_key, failed_rows, observed): failed_rows > 0 is a
-failure, 0 a pass, < 0 means the test had nothing to compare with. Tests that
-only need aggregates share one aggregation over the rows they look at; tests on
-groups or on other tables add their own plan, and everything comes back as one
-DataFrame.
-"""
+"""Measuring the tests of a table: as few passes as they allow, one row per test."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from collections.abc import Mapping
 from datetime import date, timedelta
 from functools import reduce
-from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featuremill.functions.dates import day
-from featuremill.quality.config import DqSettings, TestSpec
-
-Pair = tuple[Column, Column]
-
-
-@dataclass(frozen=True)
-class Context:
-    settings: DqSettings
-    on: date
-    references: Mapping[str, DataFrame]
-
-    @property
-    def part(self) -> Column:
-        return F.col(self.settings.partition_column).cast("date")
-
-    def scope_filter(self, spec: TestSpec) -> Column:
-        """The rows a test looks at, as a filter that can prune partitions."""
-        scope = F.lit(True) if self.settings.scope == "table" else self.part == day(self.on)
-        return scope if spec.where is None else scope & F.expr(spec.where)
-
-    def in_scope(self, spec: TestSpec) -> Column:
-        """The same as a flag that is never NULL, for use inside aggregates."""
-        return _true(self.scope_filter(spec))
-
-
-def _true(c: Column) -> Column:
-    return F.coalesce(c, F.lit(False))
-
-
-def _any(conditions: list[Column]) -> Column:
-    return reduce(or_, conditions)
-
-
-def _nulls(columns) -> Column:
-    return _any([F.col(c).isNull() for c in columns])
-
-
-def _with_nulls(violation: Column, columns, ignore_nulls: bool) -> Column:
-    return _true(violation) if ignore_nulls else _true(violation) | _nulls(columns)
-
-
-def _outside(p: dict) -> Column:
-    c = F.col(p["column"])
-    sides = []
-    if p["min"] is not None:
-        sides.append(c < F.lit(p["min"]) if p["min_inclusive"] else c <= F.lit(p["min"]))
-    if p["max"] is not None:
-        sides.append(c > F.lit(p["max"]) if p["max_inclusive"] else c >= F.lit(p["max"]))
-    return _with_nulls(_any([_true(s) for s in sides]), [p["column"]], p["ignore_nulls"])
-
-
-# Row tests: which rows break the rule.
-ROW_RULES: dict[str, Callable[[dict, Context], Column]] = {
-    "primary_key_not_null": lambda p, ctx: _nulls(ctx.settings.primary_key),
-    "not_null": lambda p, ctx: _nulls(p["columns"]),
-    "null_share_below": lambda p, ctx: _nulls([p["column"]]),
-    "accepted_values": lambda p, ctx: _with_nulls(~F.col(p["column"]).isin(*p["values"]), [p["column"]], p["ignore_nulls"]),
-    "not_accepted_values": lambda p, ctx: _true(F.col(p["column"]).isin(*p["values"])),
-    "accepted_range": lambda p, ctx: _outside(p),
-    "non_negative": lambda p, ctx: _with_nulls(
-        _any([_true(F.col(c) < 0) for c in p["columns"]]), p["columns"], p["ignore_nulls"]
-    ),
-    "string_not_blank": lambda p, ctx: _any(
-        [F.col(c).isNull() | (F.trim(F.col(c)) == "") for c in p["columns"]]
-    ),
-    "columns_sum_equals": lambda p, ctx: _true(
-        F.abs(reduce(lambda a, b: a + b, [F.col(c) for c in p["parts"]]) - F.col(p["total"])) > p["tolerance"]
-    ),
-    "expression_is_true": lambda p, ctx: ~F.expr(p["expression"]).eqNullSafe(F.lit(True)),
-}
-
-
-def violation(spec: TestSpec, ctx: Context) -> Column | None:
-    rule = ROW_RULES.get(spec.name)
-    return None if rule is None else rule(spec.params, ctx)
-
-
-def _share(limit: float, spec: TestSpec, ctx: Context) -> Pair:
-    scope, bad = ctx.in_scope(spec), violation(spec, ctx)
-    n_bad = F.count_if(scope & bad)
-    share = F.try_divide(n_bad.cast("double"), F.count_if(scope))
-    return F.when(share > limit, n_bad).otherwise(0), share
-
-
-def _growth(spec: TestSpec, ctx: Context) -> Pair:
-    ratio, direction = float(spec.params["max_growth_ratio"]), spec.params["direction"]
-    now = F.count_if(ctx.part == day(ctx.on)).cast("double")
-    before = F.count_if(ctx.part == day(ctx.on - timedelta(days=1))).cast("double")
-    bad = []
-    if direction in ("both", "up"):
-        bad.append(now > before * (1 + ratio))
-    if direction in ("both", "down"):
-        bad.append(now < before * (1 - ratio))
-    failed = F.when(before == 0, -1).when(_any(bad), 1).otherwise(0)
-    return failed, F.try_divide(now, before) - F.lit(1)
-
-
-def _freshness(spec: TestSpec, ctx: Context) -> Pair:
-    lag = F.datediff(day(ctx.on), F.max(ctx.part))
-    return F.when(lag.isNull() | (lag > spec.params["max_lag_days"]), 1).otherwise(0), lag.cast("double")
-
-
-def aggregate_test(spec: TestSpec, ctx: Context) -> Pair | None:
-    """(failed_rows, observed) as aggregates over the whole table; None for other tests."""
-    if spec.name == "row_count_growth":
-        return _growth(spec, ctx)
-    if spec.name == "freshness":
-        return _freshness(spec, ctx)
-    if spec.name == "row_count_min":
-        n = F.count_if(ctx.in_scope(spec))
-        return F.when(n <= int(spec.params["min_rows"]), 1).otherwise(0), n.cast("double")
-    if spec.name == "null_share_below":
-        return _share(float(spec.params["max_share"]), spec, ctx)
-    if spec.name == "not_null" and spec.params.get("max_null_share") is not None:
-        return _share(float(spec.params["max_null_share"]), spec, ctx)
-    bad = violation(spec, ctx)
-    if bad is None:
-        return None
-    n = F.count_if(ctx.in_scope(spec) & bad)
-    return n, n.cast("double")
-
-
-def _one(df: DataFrame, spec: TestSpec, failed: Column, observed: Column) -> DataFrame:
-    return df.agg(
-        F.lit(spec.key).alias("test_key"),
-        failed.cast("bigint").alias("failed_rows"),
-        observed.cast("double").alias("observed"),
-    )
-
-
-def _unique(df: DataFrame, spec: TestSpec, ctx: Context) -> DataFrame:
-    keys = list(spec.params.get("columns") or ctx.settings.primary_key)
-    repeated = df.where(ctx.scope_filter(spec)).groupBy(*keys).count().where("count > 1")
-    n = F.count(F.lit(1))
-    return _one(repeated, spec, n, n)
-
-
-def _distinct_between(df: DataFrame, spec: TestSpec, ctx: Context) -> DataFrame:
-    p = spec.params
-    n = F.count(F.lit(1))
-    bad = []
-    if p["min"] is not None:
-        bad.append(n < int(p["min"]))
-    if p["max"] is not None:
-        bad.append(n > int(p["max"]))
-    values = df.where(ctx.scope_filter(spec)).select(*p["columns"]).distinct()
-    return _one(values, spec, F.when(_any(bad), 1).otherwise(0), n)
-
-
-def _parents(spec: TestSpec, ctx: Context) -> DataFrame:
-    p = spec.params
-    parent = ctx.references[p["to_table"]]
-    if p["where"]:
-        parent = parent.where(p["where"])
-    return parent.select(F.col(p["to_column"]).alias(p["column"])).distinct()
-
-
-def orphans(df: DataFrame, spec: TestSpec, ctx: Context) -> DataFrame:
-    """Rows whose non-NULL value is missing in the parent table."""
-    column = spec.params["column"]
-    return df.where(ctx.scope_filter(spec) & F.col(column).isNotNull()).join(_parents(spec, ctx), column, "left_anti")
-
-
-def _relationships(df: DataFrame, spec: TestSpec, ctx: Context) -> DataFrame:
-    # Rows are counted per value before the anti join: a value that fills the table is one row.
-    column = spec.params["column"]
-    counted = df.where(ctx.scope_filter(spec) & F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    n = F.coalesce(F.sum("_n"), F.lit(0))
-    return _one(counted.join(_parents(spec, ctx), column, "left_anti"), spec, n, n)
-
-
-def _matches_reference(df: DataFrame, spec: TestSpec, ctx: Context) -> DataFrame:
-    p = spec.params
-    other = ctx.references[p["reference_table"]].where(
-        F.col(p["reference_date_column"]).cast("date") == day(ctx.on)
-    )
-    if p["reference_where"]:
-        other = other.where(p["reference_where"])
-    mine = df.where(ctx.scope_filter(spec)).agg(F.count(F.lit(1)).alias("n"))
-    # Two one-row counts stacked and folded, so nothing has to be joined.
-    both = mine.select("n", F.lit(0).cast("bigint").alias("m")).unionByName(
-        other.agg(F.count(F.lit(1)).alias("m")).select(F.lit(0).cast("bigint").alias("n"), "m")
-    )
-    n, m = F.sum("n").cast("double"), F.sum("m").cast("double")
-    off = F.try_divide(n, m) - F.lit(1)
-    return _one(both, spec, F.when(m == 0, -1).when(F.abs(off) > float(p["tolerance_ratio"]), 1).otherwise(0), off)
-
+from featuremill.quality.config import DqSettings
+from featuremill.quality.rules import Rule, Table
 
-PLAN_TESTS: dict[str, Callable[[DataFrame, TestSpec, Context], DataFrame]] = {
-    "primary_key_unique": _unique,
-    "unique_combination": _unique,
-    "distinct_count_between": _distinct_between,
-    "relationships": _relationships,
-    "row_count_matches_reference": _matches_reference,
-}
 
+def passes(df: DataFrame, settings: DqSettings, table: Table) -> list[tuple[list[int], DataFrame]]:
+    """(numbers of the tests, frame (test, failed_rows, observed)) for each pass over the table.
 
-def check_frame(
-    df: DataFrame, settings: DqSettings, on: date, references: Mapping[str, DataFrame] | None = None
-) -> DataFrame:
-    """(test_key, failed_rows, observed) for all tests of a table."""
-    ctx = Context(settings, on, references or {})
-    # Which rows the shared aggregations read: two days for growth and for tests of the
-    # partition, nothing but the dates for freshness, everything only for tests of the table.
-    two_days = df.where((ctx.part >= day(on - timedelta(days=1))) & (ctx.part <= day(on)))
-    dates = df.select(settings.partition_column)
-    groups: dict[str, tuple[DataFrame, list[tuple[TestSpec, Pair]]]] = {
-        "days": (two_days, []), "dates": (dates, []), "all": (df, []),
+    Aggregate tests share a pass over the rows they look at: the day and the one before, the dates alone, or everything.
+    """
+    sources = {
+        "days": lambda: df.where((table.day >= day(table.on - timedelta(days=1))) & (table.day <= day(table.on))),
+        "dates": lambda: df.select(settings.partition_column),
+        "rows": lambda: df,
     }
-    frames = []
-    for spec in settings.tests:
-        pair = aggregate_test(spec, ctx)
-        if pair is None:
-            frames.append(PLAN_TESTS[spec.name](df, spec, ctx))
-        elif spec.name == "freshness":
-            groups["dates"][1].append((spec, pair))
-        elif spec.name == "row_count_growth" or settings.scope == "partition":
-            groups["days"][1].append((spec, pair))
+    shared: dict[str, list[tuple[int, Rule]]] = {name: [] for name in sources}
+    made = []
+    for i, rule in enumerate(settings.tests):
+        if rule.measured(table) is None:
+            made.append(([i], rule.plan(df, table).select(F.lit(i).alias("test"), "failed_rows", "observed")))
         else:
-            groups["all"][1].append((spec, pair))
-    shared = [_aggregated(source, pairs) for source, pairs in groups.values() if pairs]
-    return reduce(DataFrame.unionByName, shared + frames)
+            shared["days" if rule.reads == "rows" and not table.whole else rule.reads].append((i, rule))
+    joint = [([i for i, _ in tests], _aggregated(sources[name](), tests, table)) for name, tests in shared.items() if tests]
+    return [*joint, *made]
 
 
-def _aggregated(df: DataFrame, tests: list[tuple[TestSpec, Pair]]) -> DataFrame:
-    """All given aggregate tests in one pass, one row per test."""
-    one = df.agg(
-        *[
-            F.struct(
-                F.lit(s.key).alias("test_key"),
-                failed.cast("bigint").alias("failed_rows"),
-                observed.cast("double").alias("observed"),
-            ).alias(f"t{i}")
-            for i, (s, (failed, observed)) in enumerate(tests)
-        ]
-    )
-    return one.select(F.inline(F.array(*[f"t{i}" for i in range(len(tests))])))
+def _aggregated(df: DataFrame, tests: list[tuple[int, Rule]], table: Table) -> DataFrame:
+    """All given tests in one aggregation."""
+    rows = []
+    for i, rule in tests:
+        failed, observed = rule.measured(table)
+        rows.append(F.struct(F.lit(i).alias("test"), failed.cast("bigint").alias("failed_rows"), observed.cast("double").alias("observed")).alias(f"t{i}"))
+    return df.agg(*rows).select(F.inline(F.array(*[f"t{i}" for i, _ in tests])))
 
 
-def violating_rows(df: DataFrame, spec: TestSpec, ctx: Context) -> DataFrame | None:
-    """A few rows that break the rule, with the key; None where single rows do not break it."""
-    keys = list(ctx.settings.primary_key)
-    n = ctx.settings.sample_rows
-    if spec.name in ("primary_key_unique", "unique_combination"):
-        columns = list(spec.params.get("columns") or keys)
-        return df.where(ctx.scope_filter(spec)).groupBy(*columns).count().where("count > 1").limit(n)
-    if spec.name == "relationships":
-        return orphans(df, spec, ctx).select(*dict.fromkeys([*keys, spec.params["column"]])).limit(n)
-    bad = violation(spec, ctx)
-    if bad is None:
-        return None
-    p = spec.params
-    about = [*p.get("columns", ()), *p.get("parts", ()), *[p[k] for k in ("column", "total") if k in p]]
-    return df.where(and_(ctx.scope_filter(spec), bad)).select(*dict.fromkeys([*keys, *about])).limit(n)
+def check_frame(df: DataFrame, settings: DqSettings, on: date, references: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """(test_key, failed_rows, observed) for all tests of a table, in one plan; the key is a label and may repeat."""
+    every = reduce(DataFrame.unionByName, [frame for _, frame in passes(df, settings, settings.table(on, references))])
+    labels = F.array(*[F.lit(rule.key) for rule in settings.tests])
+    return every.select(F.get(labels, F.col("test")).alias("test_key"), "failed_rows", "observed")
 
 
-def history_days(df: DataFrame, ctx: Context) -> DataFrame:
+def history_days(df: DataFrame, table: Table) -> DataFrame:
     """Number of earlier partition dates, as a one-row frame."""
-    return df.where(ctx.part < day(ctx.on)).select(ctx.part.alias("d")).distinct().agg(F.count(F.lit(1)).alias("n"))
+    return df.where(table.day < day(table.on)).select(table.day.alias("d")).distinct().agg(F.count(F.lit(1)).alias("n"))

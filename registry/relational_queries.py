@@ -635,3 +635,29 @@ QUALITY["d19_runner"] = (d19, D19_SQL)
 QUALITY["d20_result_history"] = (
     d20, f"SELECT dag_id, count(*) AS n, count(*) FILTER (WHERE status = 'passed') AS passed FROM ({D19_SQL}) q CROSS JOIN (VALUES ('nightly'), ('weekly')) j(dag_id) GROUP BY 1",
 )
+
+
+_LONG = "l_quantity + l_extendedprice + l_discount + l_tax"
+
+
+def d19_shared(v):
+    """Tests that share a label: two ranges on one column, two expressions alike for 40 characters and more."""
+    tests = [
+        {"name": "accepted_range", "column": "l_quantity", "min": 40}, {"name": "accepted_range", "column": "l_quantity", "max": 1000},
+        {"name": "expression_is_true", "expression": f"{_LONG} > 20000"}, {"name": "expression_is_true", "expression": f"{_LONG} > -1"},
+    ]
+    df = v.table("lineitem").withColumn("date", F.to_date("l_shipdate"))
+    outcome = run_checks(df, DqSettings(LINE_KEY, tuple(make_spec(t) for t in tests), scope="table"), ON)
+    rows = [(i, r.spec.key, r.status, r.failed_rows) for i, r in enumerate(outcome.results)]
+    return v.spark.createDataFrame(rows, "test int, test_key string, status string, failed_rows bigint")
+
+
+_COUNTED = ("l_quantity < 40", "l_quantity > 1000", f"({_LONG} > 20000) IS DISTINCT FROM TRUE", f"({_LONG} > -1) IS DISTINCT FROM TRUE")
+_LABELS = ("accepted_range[l_quantity]", "accepted_range[l_quantity]", f"expression_is_true[{_LONG} > 20000]", f"expression_is_true[{_LONG} > -1]")
+QUALITY["d19_runner_shared_labels"] = (
+    d19_shared,
+    " UNION ALL ".join(
+        f"SELECT {i} AS test, '{label}' AS test_key, CASE WHEN n > 0 THEN 'failed' ELSE 'passed' END AS status, n AS failed_rows FROM (SELECT count(*) AS n FROM lineitem WHERE {bad}) x{i}"
+        for i, (label, bad) in enumerate(zip(_LABELS, _COUNTED, strict=True))
+    ),
+)

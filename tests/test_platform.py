@@ -9,7 +9,7 @@ from featuremill.export.features import FeatureGroup, choose, export_frame
 from featuremill.plans.tables import TABLES
 from featuremill.quality.checks import check_frame
 from featuremill.quality.config import DqConfigError, DqSettings, load_settings, make_spec
-from featuremill.quality.runner import RESULT_SCHEMA, result_rows, run_checks, save_results
+from featuremill.quality.runner import RESULT_SCHEMA, QualityFailed, result_rows, run_checks, save_results
 from featuremill.sources import scan, schema, sink
 
 D = date(2024, 1, 2)
@@ -154,6 +154,21 @@ def test_runner_status(spark):
     assert skipped == {"row_count_growth": "no baseline data for 2024-01-01"}
 
 
+def test_tests_that_share_a_label_keep_their_results(spark):
+    rows = [(D, i, float(i)) for i in range(10)]
+    long = "x + x + x + x + x + x + x + x + x + x + x"
+    settings = load_settings(("date", "id"), {"warmup_days": 0, "tests": [
+        {"name": "row_count_growth", "enabled": False},
+        {"name": "accepted_range", "column": "x", "min": 100}, {"name": "accepted_range", "column": "x", "max": 1000},
+        {"name": "expression_is_true", "expression": f"{long} > 70"}, {"name": "expression_is_true", "expression": f"{long} >= 0"},
+    ]})
+    out = run_checks(frame(spark, rows), settings, D)
+    assert [(r.status, r.failed_rows) for r in out.results[-4:]] == [("failed", 10), ("passed", 0), ("failed", 7), ("passed", 0)]
+    assert all(r.text for r in out.results) and "1000" in out.results[-3].text
+    with pytest.raises(QualityFailed, match="accepted_range"):
+        out.raise_for_errors()
+
+
 def test_runner_switches(spark):
     df = frame(spark, ROWS)
     assert run_checks(df, load_settings(("id",), {"enabled": "no"}), D).results == []
