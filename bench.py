@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -36,6 +37,8 @@ def main() -> None:
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        # One machine: its temporary folder is shared by all threads.
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="featuremill-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

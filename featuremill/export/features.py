@@ -33,7 +33,6 @@ class FeatureGroup:
     features: tuple[str, ...]
     log1p: frozenset[str] = field(default_factory=frozenset)
     timestamp_column: str | None = None
-    limit: int | None = None
 
     def __post_init__(self) -> None:
         if "date" not in self.primary_key and self.timestamp_column not in self.primary_key:
@@ -73,8 +72,6 @@ def snapshot_frame(table: DataFrame, group: FeatureGroup, on: date) -> DataFrame
         rows = partition(table, on)
     else:
         rows = latest_snapshot(table, group.timestamp_column)
-    if group.limit is not None:
-        rows = rows.limit(group.limit)
     zero = F.lit(0.0)
     return rows.select(
         *group.entity_keys,

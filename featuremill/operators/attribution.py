@@ -7,14 +7,14 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A group with more than this share of all rows is cut into hours. At most 1 / HOT_SHARE
-# groups can be, whatever the size of the data.
-HOT_SHARE = 0.001
-_WHOLE = -1
+#: Seconds of the first and of the second level of slices.
+SLICES = (60, 86_400)
 
 
-def hour_slice(ts: Column) -> Column:
-    return F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")) * 24 + F.hour(ts)
+def time_slice(ts: Column, seconds: int) -> Column:
+    """Number of the slice that an instant lies in."""
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return F.floor((days * 86_400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)) / seconds).cast("bigint")
 
 
 def last_before(
@@ -23,8 +23,7 @@ def last_before(
     ts: str,
     tie: str,
     streams: Mapping[str, Callable[[Column], Column]],
-    hot_share: float = HOT_SHARE,
-    members: DataFrame | None = None,
+    slices: tuple[int, int] = SLICES,
 ) -> DataFrame:
     """For each row and stream, the latest earlier row of that stream in the group.
 
@@ -33,42 +32,39 @@ def last_before(
     and per stream the ``row`` of the row before, or NULL. It equals one ``lag``
     per stream over that stream's rows, with a single shuffle for all.
 
-    Keys must not be NULL. Groups with more than ``hot_share`` of all rows are cut
-    into hours: rows look back inside their hour, and the last row of each hour
-    is carried over to the next one. So no group has to pass through one task,
-    and ordinary groups pay only for being counted. ``members`` may give the
-    keys of all rows from a cheaper frame for that count.
+    Keys must not be NULL. Every group is cut into slices of ``slices[0]``
+    seconds: rows look back inside their slice. The last row of each slice is
+    carried over in two steps, inside slices of ``slices[1]`` seconds and from
+    one of these to the next. So a task holds the rows of one short slice, the
+    short slices of one long one, or the long slices of one group, however
+    large the group is and whatever its share of the table.
     """
     placed_by = [*keys, ts, tie]
-    cell = [*keys, "_slice"]
+    cell, block = [*keys, "_slice"], [*keys, "_block"]
     rest = [c for c in df.columns if c not in placed_by]
-    members = (df if members is None else members).select(*keys)
-    many = F.lit(hot_share) * members.select(F.count(F.lit(1))).scalar()
-    counted = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    # Bounded by 1 / hot_share rows, so the broadcast does not grow with the data.
-    hot = F.broadcast(counted.where(F.col("_n") > many).select(*keys, F.lit(True).alias("_hot")))
-    marked = df.join(hot, list(keys), "left").select(
-        *placed_by, *rest, F.when(F.col("_hot"), hour_slice(F.col(ts))).otherwise(_WHOLE).alias("_slice")
-    )
+    fine, coarse = slices
+    marked = df.withColumn("_slice", time_slice(F.col(ts), fine))
     # Both uses of this frame below need all of its columns, so they share the shuffle.
     placed = marked.repartition(*cell).select(*placed_by, "_slice", F.struct(*rest).alias("row"))
 
     row, when = F.col("row"), F.struct(ts, tie)
-    earlier = Window.partitionBy(*cell).orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, -1)
     looked = placed.select(
         *placed_by, "_slice", "row",
-        *[F.last(F.when(test(row), row), ignorenulls=True).over(earlier).alias(f"_in_{n}") for n, test in streams.items()],
+        *[F.last(F.when(test(row), row), ignorenulls=True).over(_earlier(cell, ts, tie)).alias(f"_in_{n}") for n, test in streams.items()],
+    )
+    tails = placed.groupBy(*cell).agg(*[F.max_by("row", F.when(test(row), when)).alias(f"_thru_{n}") for n, test in streams.items()])
+    tails = tails.withColumn("_block", F.floor(F.col("_slice") * fine / coarse).cast("bigint")).repartition(*block)
+    near = tails.select(*cell, "_block", *[F.last(f"_thru_{n}", ignorenulls=True).over(_earlier(block, "_slice")).alias(f"_near_{n}") for n in streams])
+    ends = tails.groupBy(*block).agg(*[F.max_by(f"_thru_{n}", F.when(F.col(f"_thru_{n}").isNotNull(), F.col("_slice"))).alias(f"_end_{n}") for n in streams])
+    far = ends.select(*block, *[F.last(f"_end_{n}", ignorenulls=True).over(_earlier(keys, "_block")).alias(f"_far_{n}") for n in streams])
+    carried = near.join(far, block).select(
+        *cell, *[F.coalesce(F.col(f"_near_{n}"), F.col(f"_far_{n}")).alias(f"_carry_{n}") for n in streams]
     )
-    # The slice is tested after the aggregation: tested before, it would change the shared shuffle.
-    tails = placed.groupBy(*cell).agg(
-        F.max("_slice").alias("_hour"),
-        *[F.max_by("row", F.when(test(row), when)).alias(f"_thru_{n}") for n, test in streams.items()],
-    ).where(F.col("_hour") != _WHOLE)
-    back = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = tails.select(
-        *cell, *[F.last(f"_thru_{n}", ignorenulls=True).over(back).alias(f"_carry_{n}") for n in streams]
-    ).where(" OR ".join(f"_carry_{n} IS NOT NULL" for n in streams))
     return looked.join(carried, cell, "left").select(
         *placed_by, "row",
         *[F.coalesce(F.col(f"_in_{n}"), F.col(f"_carry_{n}")).alias(n) for n in streams],
     )
+
+
+def _earlier(keys: Sequence[str], *order: str):
+    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)

@@ -40,7 +40,7 @@ def attach_group_key(df: DataFrame, key_map: DataFrame) -> DataFrame:
 
 
 def fan_out(
-    members: DataFrame, features: DataFrame, key: str, spread_by: Sequence[str] = (), salts: int = 1
+    members: DataFrame, features: DataFrame, key: str, spread_by: Sequence[str] = (), salts: int | None = None
 ) -> DataFrame:
     """Join group features back to every member of the group.
 

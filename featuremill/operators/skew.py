@@ -13,19 +13,20 @@ def salted_join(
     few: DataFrame,
     keys: Sequence[str],
     spread_by: Sequence[str],
-    salts: int = 8,
+    salts: int | None = None,
     how: str = "inner",
 ) -> DataFrame:
-    """``many JOIN few`` with the rows of one key dealt over ``salts`` sub-keys.
+    """``many JOIN few``, with the rows of one key dealt over ``salts`` sub-keys where a number is given.
 
-    ``few`` should be narrow with few rows per key: it is repeated per salt.
-    Adaptive execution splits skewed joins by itself, but not when the rows are
-    aggregated by the same key right after; this form works there too.
-    ``how`` is inner or left. The result is the same as of the plain join.
+    Without ``salts`` this is the plain join, whose hot keys adaptive execution
+    splits at run time as far as the cluster goes. Give a number where the rows
+    are aggregated by the same key right after, so that it cannot, and ``few``
+    is narrow with few rows per key: it is repeated per salt. ``how`` is inner
+    or left. The result is the same as of the plain join.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
-    if salts <= 1:
+    if salts is None or salts <= 1:
         return many.join(few, list(keys), how)
     dealt = many.withColumn("_salt", F.pmod(F.hash(*spread_by), F.lit(salts)))
     repeated = few.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))

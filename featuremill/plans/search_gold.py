@@ -267,13 +267,14 @@ def pair_features_v2(funnel: DataFrame, orders: DataFrame, as_of: date, stage: S
 
 
 def pair_features_canonical(
-    funnel: DataFrame, orders: DataFrame, dictionary: DataFrame, as_of: date, version: str = "v1", salts: int = 8,
+    funnel: DataFrame, orders: DataFrame, dictionary: DataFrame, as_of: date, version: str = "v1", salts: int | None = None,
     stage: Stage = no_stage,
 ) -> DataFrame:
     """As v2 with queries merged by canonical group; every query of a group gets the group's rows.
 
     Item totals stay per item. Growth by the fan-out is inherent, so rows of a
-    group are dealt over ``salts`` tasks. The pair sums are used three times;
+    group may be dealt over ``salts`` tasks; by default adaptive execution splits
+    them. The pair sums are used three times;
     pass a ``stage`` to compute them once.
     """
     sums = stage(_pair_sums(funnel, orders, as_of, smooth=True))

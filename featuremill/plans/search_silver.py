@@ -136,7 +136,6 @@ def search_funnel_daily(events: DataFrame, sku: DataFrame, start: date, end: dat
             "before_click": lambda r: r["event_type"].isin(IMPRESSION, VIEW),
             "before_cart": lambda r: r["event_type"].isin(IMPRESSION, CART),
         },
-        members=used.where("product_id is not null").select(*group),
     )
     # Each event gives at most one credit: an impression to itself, a click or cart to
     # the impression right before it.

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from featuremill.sources.sink import shared_dir
+
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """Under the shared folder of the cluster; a temporary one only where none is set (tests)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="featuremill-")
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    """Under the shared folder of the cluster."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

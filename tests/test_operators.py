@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from featuremill.operators import attribution, canonical, outcomes, relevance, rings, rows
@@ -16,14 +17,14 @@ def skewed_rows(n=900, seed=7):
     return [(0 if rng.random() < 0.5 else rng.randrange(1, 40), rng.randrange(0, 3000), rng.choice("abc"), i) for i in range(n)]
 
 
-@pytest.mark.parametrize("hot_share", [0.0, 0.1, 1.0])
-def test_last_before_equals_lag(spark, hot_share):
+@pytest.mark.parametrize("slices", [(60, 86_400), (600, 3600), (7200, 7200), (10**9, 10**9)])
+def test_last_before_equals_lag(spark, slices):
     data = skewed_rows()
     df = spark.createDataFrame(data, "k int, m int, kind string, id int").withColumn(
         "ts", F.expr("cast('2024-01-01' as timestamp_ntz) + make_dt_interval(0, 0, m)")
     )
     got = attribution.last_before(
-        df, ["k"], "ts", "id", {"any": lambda r: F.lit(True), "only_a": lambda r: r["kind"] == "a"}, hot_share
+        df, ["k"], "ts", "id", {"any": lambda r: F.lit(True), "only_a": lambda r: r["kind"] == "a"}, slices
     ).select("id", F.col("any.m").alias("m1"), F.col("only_a.m").alias("m2"))
     got = {r.id: (r.m1, r.m2) for r in got.collect()}
     expected = {}
@@ -41,10 +42,24 @@ def test_last_before_equals_lag(spark, hot_share):
     assert got == expected
 
 
-def test_last_before_splits_a_hot_group(spark):
-    """All rows of one group, spread over three days, land in many cells."""
-    df = spark.range(2000).select(F.lit(1).alias("k"), "id", F.expr("cast('2024-01-01' as timestamp_ntz) + make_dt_interval(0, 0, cast(id * 2 as int))").alias("ts"))
-    assert df.select(attribution.hour_slice(F.col("ts"))).distinct().count() >= 60
+def test_last_before_splits_a_hot_group_and_hour(spark):
+    """Half of the rows lie in one hour of one group: no task of the look-back meets more than a small part of them."""
+    n = 400_000
+    hot = F.col("id") % 2 == 0
+    df = spark.range(n).select(
+        F.when(hot, 0).otherwise(F.col("id") % 997).alias("k"), "id",
+        F.expr("cast('2024-01-01' as timestamp_ntz) + make_dt_interval(0, 0, 0, cast(id % 3600 as double))").alias("ts"),
+    )
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        found = attribution.last_before(df, ["k"], "ts", "id", {"prev": lambda r: F.lit(True)})
+        w = Window.partitionBy("k").orderBy("ts", "id")
+        want = df.select("id", F.lag("id").over(w).alias("prev"))
+        assert found.where("prev is null").count() == want.where("prev is null").count() == 997
+        cells = df.groupBy("k", attribution.time_slice(F.col("ts"), attribution.SLICES[0]).alias("s")).count()
+        assert cells.agg(F.max("count")).first()[0] < n / 50
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
 def test_sliced_row_number_with_nulls(spark):
