@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from featuremill.llm.common import map_texts
-from featuremill.llm.units import UnitMemo, one_thread
+from featuremill.llm.units import UnitEncoder, UnitMemo, one_thread
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -82,16 +82,14 @@ class Coder:
         self.tokenizer, self.pieces = Tokenizer.from_str(vocab.tokenizer), vocab.pieces
         self.sizes = np.array([len(p or b"") for p in vocab.pieces], np.int64)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
     def decode(self, ids: list[int]) -> bytes:
         """The bytes of the ids, characters split between tokens included."""
         pieces = self.pieces
         return b"".join([pieces[i] for i in ids])
 
     def memo(self, make) -> UnitMemo:
-        return UnitMemo(lambda units: [make(ids) for ids in self.encode(units)])
+        encode = UnitEncoder(self.tokenizer)
+        return UnitMemo(lambda units: [make(ids) for ids in encode(units)])
 
     def char_starts(self, text: bytes, ids: np.ndarray) -> np.ndarray:
         """Of each token: the character that holds its first byte."""

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremill.llm.common import byte_texts, staged
-from featuremill.llm.units import UnitMemo
+from featuremill.llm.units import UnitEncoder, UnitMemo, one_thread
 
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens long"
 
@@ -51,6 +51,7 @@ def counter(path: str) -> Callable[[list[str]], list[int]]:
         return lambda texts: [len(x) for x in pieces.encode(texts, num_threads=1)]
     from tokenizers import Tokenizer
 
+    one_thread()
     made = Tokenizer.from_file(path)
     made.no_truncation()
     made.no_padding()
@@ -61,7 +62,8 @@ def counter(path: str) -> Callable[[list[str]], list[int]]:
     with open(path, encoding="utf-8") as file:
         if not _cuts_at_spaces(json.load(file)):
             return encode
-    memo = UnitMemo(encode)
+    ids_of = UnitEncoder(made)
+    memo = UnitMemo(lambda units: [len(ids) for ids in ids_of(units)])
     return lambda texts: [sum(units) for units in memo.results(texts)]
 
 
@@ -93,7 +95,7 @@ def count_tokens(
     def run(batches):
         count = counter(tokenizer_path)
         for batch in batches:
-            found = count([x.decode() for x in byte_texts(batch.column(1))])
+            found = count([*map(bytes.decode, byte_texts(batch.column(1)))])
             yield pa.RecordBatch.from_arrays(
                 [pa.array([version] * batch.num_rows, pa.string()), batch.column(0), pa.array(found, pa.int64())], names=["tokenizer", "digest", "n_tokens"]
             )

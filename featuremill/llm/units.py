@@ -13,6 +13,8 @@ from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 from typing import Any
 
+import numpy as np
+
 # White space in Python holds all of the pattern's white space, so a cut is never made where the pattern sees one.
 _ODD_SPACE = re.compile(r"\s | \s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -29,10 +31,49 @@ def one_thread() -> None:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 
+class UnitEncoder:
+    """Ids of units by a byte-level tokenizer, ``together`` units to a text.
+
+    Units that begin with a single space and end with a character that is not white space may stand side by side: the text
+    of several is cut back into them by the bytes of its tokens. All others are encoded alone.
+    """
+
+    def __init__(self, tokenizer: Any, together: int = 100) -> None:
+        self.tokenizer, self.together = tokenizer, together
+        vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+        self.sizes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.sizes[i] = len(token)  # one character stands for one byte
+        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+
+    def _alone(self, units: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+
+    def _joins(self, unit: str) -> bool:
+        return len(unit) > 1 and unit[0] == " " and not unit[1].isspace() and not unit[-1].isspace() and not any(x in unit for x in self.added)
+
+    def __call__(self, units: list[str]) -> list[list[int]]:
+        made: list[list[int]] = [[]] * len(units)
+        joining = [i for i, u in enumerate(units) if self._joins(u)]
+        alone = sorted({*range(len(units))} - {*joining})
+        groups = [joining[a : a + self.together] for a in range(0, len(joining), self.together)]
+        for group, ids in zip(groups, self._alone(["".join([units[i] for i in g]) for g in groups]), strict=True):
+            ends, wanted = np.cumsum(self.sizes[ids]), np.cumsum([len(units[i].encode()) for i in group])
+            cuts = np.searchsorted(ends, wanted, "right")
+            if len(ends) and (cuts > 0).all() and np.array_equal(ends[cuts - 1], wanted):
+                for i, a, b in zip(group, [0, *cuts[:-1].tolist()], cuts.tolist(), strict=True):
+                    made[i] = ids[a:b]
+            else:
+                alone += group
+        for i, ids in zip(alone, self._alone([units[i] for i in alone]), strict=True):
+            made[i] = ids
+        return made
+
+
 class UnitMemo:
     """Results of ``encode`` by unit; holds at most about ``limit`` short units between calls."""
 
-    def __init__(self, encode: Callable[[list[str]], list[Any]], limit: int = 150_000, longest: int = 64) -> None:
+    def __init__(self, encode: Callable[[list[str]], list[Any]], limit: int = 250_000, longest: int = 64) -> None:
         self.encode, self.limit, self.longest = encode, limit, longest
         self.first: dict[str, Any] = {}
         self.spaced: dict[str, Any] = {}
@@ -43,7 +84,7 @@ class UnitMemo:
             part = new[at : at + 10_000]
             memo.update(zip(part, self.encode([prefix + x for x in part]), strict=True))
 
-    def results(self, texts: Iterable[str], chars: int = 1_000_000) -> Iterator[list[Any]]:
+    def results(self, texts: Iterable[str], chars: int = 2_000_000) -> Iterator[list[Any]]:
         """One list of unit results for each text; texts are taken together up to about ``chars`` characters."""
         todo = iter(texts)
         while part := list(_up_to(todo, chars)):
