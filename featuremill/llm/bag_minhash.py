@@ -56,7 +56,7 @@ class ShingleHasher:
     def multiset(self, own: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Distinct shingles and their counts."""
         memo = self.of_word
-        for w in set(own) - memo.keys():
+        for w in {x for x in own if x not in memo}:
             memo[w] = xxhash.xxh3_64_intdigest(w)
         hashes = np.fromiter(map(memo.__getitem__, own), np.uint64, len(own))
         if len(memo) > self.limit:

@@ -115,7 +115,7 @@ class Scorer:
 
     def segments(self, text: bytes) -> tuple[int, list[tuple[int, int, float]]]:
         own, memo = words(text), self.memo
-        for w in set(own) - memo.keys():
+        for w in {x for x in own if x not in memo}:
             memo[w] = self._score(w)
         scores = np.fromiter(map(memo.__getitem__, own), np.float64, len(own)) - self.model.drift
         if len(memo) > self.limit:

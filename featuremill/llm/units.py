@@ -79,7 +79,7 @@ class UnitMemo:
         self.spaced: dict[str, Any] = {}
 
     def _fill(self, memo: dict[str, Any], wanted: set[str], prefix: str) -> None:
-        new = list(wanted - memo.keys())
+        new = [x for x in wanted if x not in memo]
         for at in range(0, len(new), 10_000):
             part = new[at : at + 10_000]
             memo.update(zip(part, self.encode([prefix + x for x in part]), strict=True))
