@@ -18,6 +18,7 @@ from featuremill.plans import item_silver as items
 from featuremill.plans import search_gold as search
 from featuremill.plans import search_silver
 from featuremill.sources import scan, schema, sink
+from registry import account_sql
 from registry import gold_queries as g
 from registry import silver_queries as silver
 from registry.geo_sql import dbl
@@ -258,16 +259,6 @@ def k32(v):
     return flags.groupBy("return_cause").agg(*[F.count_if(c).alias(c) for c in names])
 
 
-def _k32_sql():
-    from registry.account_sql import _ITEM
-
-    names = {"dl": "is_delivered", "ac": "is_active", "cp": "is_completed", "cb": "is_cancelled_before", "fr": "is_fair_return", "ns": "is_no_show",
-             "lc": "is_late_cancel", "rh": "is_handover_return", "rp": "is_later_return", "nb": "is_refused"}
-    cols = ", ".join(f"count(*) FILTER (WHERE {_ITEM[k]}) AS {n}" for k, n in names.items())
-    return f"""SELECT return_cause, {cols} FROM (SELECT *, nullif(return_cause, '') AS rc, real_order_item_status AS st,
-  issued_at IS NULL AND returned_at IS NOT NULL AND delivered_at IS NOT NULL AS nis, issued_at IS NOT NULL AND returned_at IS NOT NULL AS iss FROM v_history WHERE account_id > 0) h GROUP BY 1"""
-
-
 def k33(v):
     size = F.when(F.col("dimensional_group").isin(*items.SIZE_GROUPS), F.col("dimensional_group")).otherwise("SMALL")
     cost = F.coalesce(F.nanvl("forward_cost", F.lit(0.0)), F.lit(0.0))
@@ -333,7 +324,7 @@ FROM (SELECT sku_group_id, {g.sums({'ad_clicks': 'c{w}', 'ad_impressions': 'i{w}
         lambda v: v.category.select("id", F.coalesce(*[F.when(F.col(f"l{i}_category") > 0, F.col(f"l{i}_category")) for i in (3, 2, 1)]).alias("l3")),
         "SELECT id, CASE WHEN l3_category > 0 THEN l3_category WHEN l2_category > 0 THEN l2_category ELSE l1_category END AS l3 FROM v_category",
     ),
-    "k32_status_flags": (k32, _k32_sql()),
+    "k32_status_flags": (k32, account_sql.OUTCOME_COUNTS_SQL),
     "k33_domain_defaults": (
         k33,
         """SELECT CASE WHEN dimensional_group IN ('SMALL', 'MEDIUM', 'LARGE') THEN dimensional_group ELSE 'SMALL' END AS size, count(*) AS n,
@@ -432,9 +423,6 @@ def w04(v):
     ))
 
 
-_ACC = lambda: __import__("registry.account_sql", fromlist=["ASOF_CTES"]).ASOF_CTES.strip()
-
-
 def w06(v):
     per = v.order_items.groupBy("city_id", "region_id").agg(F.sum("item_quantity").alias("q"))
     region = Window.partitionBy("region_id")  # one row per city here
@@ -498,10 +486,10 @@ ROWS = {
         """SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS seq_asc,
   row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS seq_desc, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders""",
     ),
-    "w04_last_n_means": (w04, f"WITH {_ACC()} SELECT account_id, round(l3, 6) AS last_3, round(l5, 6) AS last_5 FROM ln"),
+    "w04_last_n_means": (w04, account_sql.LAST_MEANS_SQL),
     "w05_current_streak": (
         lambda v: outcomes.current_streak(_resolved(v), ["account_id"], ["order_ts", "order_id"], "is_bad"),
-        f"WITH {_ACC()} SELECT account_id, lb AS last_outcome, CAST(len AS BIGINT) AS streak_len FROM st",
+        account_sql.STREAK_SQL,
     ),
     "w06_coarser_sums": (
         w06,
