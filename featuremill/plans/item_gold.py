@@ -211,7 +211,7 @@ def price_features(prices: DataFrame, sku: DataFrame, as_of: date, stage: Stage
         {"category_mean_sell_price": stable_mean("avg_sell")},
     )
     return placed.select(
-        day(as_of).alias("date"), "sku_group_id", "category_mean_sell_price",
+        day(as_of).alias("date"), "sku_group_id", "category_id", "category_mean_sell_price",
         F.log1p("avg_sell").alias("sell_price_eod"),
         (F.col("mid_full") - F.col("mid_sell")).alias("abs_discount"),
         ratio("mid_sell", "mid_full").alias("fraq_discount"),

@@ -35,7 +35,7 @@ _CONTRACTS = {
     "discounted_prices": ("gold", ("calculated_at", "sku_id", "promotion_id"), item_gold.discounted_prices),
     "discounted_prices_by_group": ("gold", ("calculated_at", "sku_group_id", "promotion_id"), item_gold.discounted_prices_by_group),
     "price_index_status": ("gold", ("date", "sku_group_id"), item_gold.price_index_status),
-    "price_features": ("gold", ("date", "sku_group_id"), item_gold.price_features),
+    "price_features": ("gold", ("date", "sku_group_id", "category_id"), item_gold.price_features),
     "stock_features": ("gold", ("date", "sku_group_id"), item_gold.stock_features),
     "ad_revenue_features": ("gold", ("date", "sku_group_id"), item_gold.ad_revenue_features),
     "search_conversion_v1": ("gold", ("date", "sku_group_id"), search_gold.search_conversion_v1),
@@ -60,4 +60,13 @@ _CONTRACTS = {
     ),
 }
 
-TABLES = {name: FeatureTable(name, *contract) for name, contract in _CONTRACTS.items()}
+# The change log keeps every change of a day and the dictionary every key; tables of timestamps or events replace what they bring.
+_APPENDED = {"score_change_log", "query_dictionary"}
+_SNAPSHOTS = {"discounted_prices", "discounted_prices_by_group", "search_ranking_dataset"}
+
+
+def _mode(name: str) -> str:
+    return "append" if name in _APPENDED else "replace_snapshot" if name in _SNAPSHOTS else "replace_day"
+
+
+TABLES = {name: FeatureTable(name, *contract, _mode(name)) for name, contract in _CONTRACTS.items()}

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, NumericType, StructType
 
 
+#: How a run changes a table: it replaces days of a range, replaces the snapshots that it brings, or adds keys not yet known.
+WRITE_MODES = ("replace_day", "replace_snapshot", "append")
+
+
 @dataclass(frozen=True)
 class FeatureTable:
     """Contract of one feature table."""
@@ -18,6 +22,11 @@ class FeatureTable:
     layer: str
     primary_key: tuple[str, ...]
     builder: Callable[..., DataFrame]
+    mode: str = "replace_day"
+
+    def __post_init__(self) -> None:
+        if self.mode not in WRITE_MODES:
+            raise ValueError(f"{self.name}: write mode {self.mode!r} is none of {WRITE_MODES}")
 
     @property
     def partition_column(self) -> str | None:

@@ -12,8 +12,6 @@ from registry.silver_queries import D
 
 # Table name -> registered query, where they are not called alike.
 OTHER_NAMES = {"account_category_events": "t01_account_l2_events"}
-# One row per item group and category: the key is unique only where a group has one category.
-SEVERAL_ROWS = {"price_features"}
 
 
 def query_of(name):
@@ -26,8 +24,7 @@ def query_of(name):
 def test_primary_key_is_unique(spark, sf_dir, name):
     frame = QUERIES[query_of(name)](spark, sf_dir)
     assert set(TABLES[name].primary_key) <= set(frame.columns)
-    repeated = duplicate_keys(TABLES[name], frame).count()
-    assert repeated == 0 or name in SEVERAL_ROWS
+    assert duplicate_keys(TABLES[name], frame).count() == 0
 
 
 def test_publish_daily_table_twice(spark, sf_dir, tmp_path):

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from featuremill.export.features import FeatureGroup, choose, export_frame
+from featuremill.plans.publish import publish
 from featuremill.plans.tables import TABLES
 from featuremill.quality.checks import check_frame
 from featuremill.quality.config import DqConfigError, DqSettings, load_settings, make_spec
@@ -51,6 +52,37 @@ def test_append_new_keys_is_repeatable(spark, tmp_path):
     assert sorted((r.id, r.x) for r in spark.read.parquet(path).collect()) == [(1, 1.0), (2, 2.0)]
 
 
+def test_append_takes_one_row_per_key_of_a_batch(spark, tmp_path):
+    path, batch = str(tmp_path / "t"), frame(spark, [(D, 1, 5.0), (D, 1, 4.0), (D, 2, None)])
+    sink.append_new_keys(batch, batch.where("false"), ["id"], path, [F.col("x").desc()])
+    assert sorted((r.id, r.x) for r in spark.read.parquet(path).collect()) == [(1, 5.0), (2, None)]
+
+
+def test_range_of_days(spark, tmp_path):
+    path, staging = str(tmp_path / "t"), str(tmp_path / "s")
+    days = [date(2024, 1, d) for d in (1, 2, 3)]
+    rows = [(d, i, float(i)) for i, d in enumerate(days)]
+    sink.overwrite_partitions(frame(spark, [(date(2023, 12, 31), 7, 7.0), (days[0], 8, 8.0)]), path)
+    for _ in range(2):
+        assert sink.guarded_overwrite(frame(spark, rows), path, days[0], staging, ["id"], until=date(2024, 1, 4)) == 3
+    with pytest.raises(sink.WriteRefused, match="days without rows"):
+        sink.guarded_overwrite(frame(spark, rows[:2]), path, days[0], staging, until=date(2024, 1, 4))
+    with pytest.raises(sink.WriteRefused, match="1 rows do not carry"):
+        sink.guarded_overwrite(frame(spark, rows), path, days[0], staging, until=days[2])
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2, 7]
+    assert list((tmp_path / "s").iterdir()) == []
+
+
+def test_publishing_the_change_log_keeps_earlier_changes(spark, tmp_path):
+    table, path = TABLES["score_change_log"], str(tmp_path / "log")
+    ddl = "date date, query string, sku_group_id bigint, collected_at timestamp, score double"
+    first = spark.createDataFrame([(D, "q", i, datetime(2024, 1, 2, 8), 1.0) for i in range(5)], ddl)
+    changed = spark.createDataFrame([(D, "q", 3, datetime(2024, 1, 2, 20), 2.0)], ddl)
+    for run in (first, changed, changed, first.where("false")):
+        publish(table, run, path, D, "")
+    assert spark.read.parquet(path).count() == 6
+
+
 def test_missing_parquet_names_the_path(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="nowhere"):
         scan.existing_parquet(spark, str(tmp_path / "nowhere"))
