@@ -102,8 +102,10 @@ def hex_demography(demography: DataFrame, as_of: date, regions: DataFrame | None
 
 def hex_poi_counts(poi: DataFrame, as_of: date, categories: Mapping[str, str] = POI_CATEGORIES) -> DataFrame:
     """Points of interest per category and cumulative ring, on the newest snapshot."""
-    dated = poi.withColumn("_day", F.to_date("inserted_at"))
-    here = latest_snapshot(dated, "_day").where(F.col("category_sub").isin(*categories.values()))
+    # The newest day as a range of the raw column, so that files of older days are skipped.
+    begins = F.date_trunc("day", poi.select(F.max("inserted_at")).scalar())
+    newest = (F.col("inserted_at") >= begins) & (F.col("inserted_at") < begins + F.expr("interval 1 day"))
+    here = poi.where(newest).where(F.col("category_sub").isin(*categories.values()))
     per_cell = here.groupBy("h3_index").agg(
         *[F.count_if(F.col("category_sub") == v).alias(k) for k, v in categories.items()]
     )
@@ -114,6 +116,18 @@ def hex_poi_counts(poi: DataFrame, as_of: date, categories: Mapping[str, str] =
     )
 
 
+def point_openings(order_items: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(delivery_point_id, opened): the day of each point's first issued order.
+
+    With the table as it was (``known``), ``order_items`` need only hold the new
+    days: a daily run reads one day instead of the whole history.
+    """
+    issued = order_items.where((F.col("delivery_point_id") != 0) & F.col("issued_on").isNotNull())
+    days = issued.select("delivery_point_id", F.col("issued_on").alias("opened"))
+    every = days if known is None else days.unionByName(known)
+    return every.groupBy("delivery_point_id").agg(F.min("opened").alias("opened"))
+
+
 def hex_neighbour_orders(
     order_items: DataFrame,
     delivery_points: DataFrame,
@@ -121,16 +135,18 @@ def hex_neighbour_orders(
     as_of: date,
     point_types: tuple[str, ...] = ("DELIVERY_POINT", "FRANCHISE"),
     in_shop_type: str = "UZ_POST",
+    openings: DataFrame | None = None,
 ) -> DataFrame:
     """Orders, turnover and number of points around each cell, and distance to the nearest ones.
 
     Order rows: order_id, delivery_point_id, created_on, issued_on, status,
     amount. Days before ``as_of`` count up to age 89: the scan starts there, and
-    age 0 is excluded. A distance of 0 is treated as missing.
+    age 0 is excluded. A distance of 0 is treated as missing. ``openings`` is the
+    table of :func:`point_openings`; without it the whole history is read for it.
     """
     d = F.col("created_on")
     placed = order_items.where(F.col("delivery_point_id") != 0)
-    opened = placed.where(F.col("issued_on").isNotNull()).groupBy("delivery_point_id").agg(F.min("issued_on").alias("opened"))
+    opened = point_openings(order_items) if openings is None else openings
     age = F.datediff(day(as_of), d)
     # One row per point, day and order, so that distinct orders become a count. The rate of
     # the day is applied to the day's sum: the join sees one row per point and day.

@@ -376,10 +376,10 @@ def score_change_log(
     )
 
 
-def query_candidates(
+def query_candidate_pairs(
     events: DataFrame, search_logs: DataFrame, on: date, min_installs: int = 2
 ) -> DataFrame:
-    """Item groups shown for a result query that at least ``min_installs`` installs reached."""
+    """Distinct (query, sku_group_id): item groups shown for a result query that at least ``min_installs`` installs reached."""
     if min_installs < 1:
         raise ValueError("min_installs must be at least 1")
     lo, hi = day_start(on), day_start(on + timedelta(days=1))
@@ -408,29 +408,34 @@ def query_candidates(
         .groupBy("search_query", "query").agg(F.count(F.lit(1)).alias("installs"))
         .where(F.col("installs") >= min_installs)
     )
-    # Pairs are made distinct first: the array holds each item once and is bounded by the catalogue.
+    return reached.join(shown, "search_query").select("query", "sku_group_id").distinct()
+
+
+def query_candidates(
+    events: DataFrame, search_logs: DataFrame, on: date, min_installs: int = 2
+) -> DataFrame:
+    """The candidate pairs as one sorted list per query, as the table has them; other builders take the pairs."""
     return (
-        reached.join(shown, "search_query").select("query", "sku_group_id").distinct()
+        query_candidate_pairs(events, search_logs, on, min_installs)
         .groupBy("query").agg(F.sort_array(F.collect_list("sku_group_id")).alias("sku_group_ids"))
         .select(day(on).alias("date"), "query", "sku_group_ids")
     )
 
 
 def relevance_features(
-    candidates: DataFrame,
+    pairs: DataFrame,
     items: DataFrame,
     fields: list[str],
     factors: list[str],
     on: date,
 ) -> DataFrame:
-    """BM25 scores per field, field-value factors and total score for candidate pairs.
+    """BM25 scores per field, field-value factors and total score for candidate pairs (query, sku_group_id).
 
     ``items`` has one row per sku_group_id with the text ``fields`` and the
     numeric ``factors``; other columns are passed through. Pairs without any
     matching term are not returned. Term scores of a field are listed in term
     order.
     """
-    pairs = candidates.select("query", F.explode("sku_group_ids").alias("sku_group_id"))
     scores = field_scores(items, pairs, "sku_group_id", fields)
     per_pair = scores.groupBy("query", "sku_group_id").agg(
         *[

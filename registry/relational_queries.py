@@ -466,7 +466,7 @@ def r05(v):
 
 
 def r06(v):
-    scores = field_scores(silver.item_texts(v), silver.candidates(v).select("query", F.explode("sku_group_ids").alias("sku_group_id")), "sku_group_id", ["title"])
+    scores = field_scores(silver.item_texts(v), silver.candidate_pairs(v), "sku_group_id", ["title"])
     return scores.select("query", "sku_group_id", "term", F.round("score", 6).alias("score"))
 
 

@@ -90,8 +90,12 @@ def candidates(v: StarViews):
     return search.query_candidates(v.clickstream, v.search_logs, date(2024, 1, 20))
 
 
+def candidate_pairs(v: StarViews):
+    return search.query_candidate_pairs(v.clickstream, v.search_logs, date(2024, 1, 20))
+
+
 def relevance(v: StarViews):
-    return search.relevance_features(candidates(v), item_texts(v), ["title", "type_title"], ["n_skus"], date(2024, 1, 20))
+    return search.relevance_features(candidate_pairs(v), item_texts(v), ["title", "type_title"], ["n_skus"], date(2024, 1, 20))
 
 
 FOLD = "nullif(trim(regexp_replace({x}, '[`''ʻ'']', '''', 'g')), '')"

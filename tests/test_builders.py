@@ -340,3 +340,12 @@ def test_price_features_without_history(spark, sku):
     got = {r.sku_group_id: r for r in gold.price_features(p, sku, D).collect()}
     assert got[10].abs_discount == 55.0 and got[10].fraq_discount == 0.5 and got[10].ratio_crnt_min_to_avg_min_full_price_14 == 2.0
     assert got[11].fraq_discount is None and got[11].ratio_crnt_min_to_avg_min_full_price_30 is None
+
+
+def test_point_openings_are_extended_by_the_new_days(spark):
+    ddl = "delivery_point_id bigint, issued_on date"
+    day = lambda d: date(2024, 1, d)
+    rows = [(1, day(3)), (1, day(2)), (2, None), (0, day(1)), (3, day(9)), (1, day(9))]
+    whole = {tuple(r) for r in geo.point_openings(spark.createDataFrame(rows, ddl)).collect()}
+    before = geo.point_openings(spark.createDataFrame(rows[:4], ddl))
+    assert {tuple(r) for r in geo.point_openings(spark.createDataFrame(rows[4:], ddl), before).collect()} == whole == {(1, day(2)), (3, day(9))}
