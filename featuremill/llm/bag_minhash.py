@@ -11,10 +11,12 @@ point. Equal processes give equal points, so two components agree with the proba
 Only points up to a time at which all components are likely to have one are drawn, whatever the counts; where a component
 has none, the text is drawn anew to twice that time. So no component is left open and none is approximate.
 
-Links. Equal word sequences are one node. Nodes that share a band are candidates. Round one compares each node with the smallest
-node of its buckets; later rounds only look at buckets whose nodes are still in several components: against the smallest
-node, the largest node, and finally every pair across components that was not yet compared. So a large group of near
-copies costs a comparison per member, and no pair that could join two components goes untested. With ``bands`` 25 and ``rows`` 5, a
+Links. Equal word sequences are one node. Nodes that share a band are candidates. Round one compares each node with the most
+central node of its buckets (the one that shares buckets with most others; in a group of near copies, the text they come
+from). Later rounds only look at buckets whose nodes are still in several components: all others with the most central node
+of the bucket, then with nodes drawn by hash, and at last every pair across components that was not yet compared. Texts that
+hold too much of their own to be near any other leave before that, which is exact. So a large group of near copies costs about a comparison per member, and no
+pair that could join two components goes untested. With ``bands`` 25 and ``rows`` 5, a
 pair at similarity 0.8 shares no band with probability 5e-5.
 
 Defined results: the class id is the smallest document id of the class; texts without words form a class by equal text, NULL
@@ -36,6 +38,8 @@ from featuremill.llm.common import byte_texts, staged
 from featuremill.llm.decontamination import words
 
 SHINGLE = 5
+#: Rounds of one node per bucket against the others, before all pairs that are left.
+PIVOT_ROUNDS = 2
 _GOLD, _ODD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
@@ -194,19 +198,48 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
-def _cross_pairs(shared: DataFrame, labels: DataFrame, tested: DataFrame, round_: int) -> DataFrame:
-    """Untested pairs (a > b) inside buckets, between nodes of different components."""
-    rooted = shared.join(labels, "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
-    open_ = rooted.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("key").alias("low"), F.max("key").alias("high")).filter("r0 <> r1")
-    if round_ < 2:
-        pivot = open_.select("bucket", F.col("low" if round_ == 0 else "high").alias("key"))
-        other = pivot.join(rooted, ["bucket", "key"]).select("bucket", F.col("key").alias("pivot"), F.col("root").alias("pivot_root"))
-        pairs = rooted.join(other, "bucket").filter("root <> pivot_root").select(F.greatest("key", "pivot").alias("a"), F.least("key", "pivot").alias("b"))
-    else:
-        one = rooted.join(open_.select("bucket"), "bucket", "left_semi")
-        two = one.select("bucket", F.col("key").alias("b"), F.col("root").alias("root_b"))
-        pairs = one.join(two, "bucket").filter("root <> root_b and key > b").select(F.col("key").alias("a"), "b")
-    return pairs.distinct().join(tested, ["a", "b"], "left_anti")
+def _rooted(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """Buckets that still hold several components, with the component of each node."""
+    rooted = shared.join(labels, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    open_ = rooted.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("bucket")
+    return rooted.join(open_, "bucket")
+
+
+def _pivot_pairs(rooted: DataFrame, draw: int = 0) -> DataFrame:
+    """One node of each bucket, the most central or with ``draw`` another one, with the nodes of other components."""
+    rank = F.xxhash64("key", "bucket", F.lit(draw)) if draw else F.col("central")
+    best = F.max(F.struct(rank.alias("rank"), "key", "root")).alias("best")
+    pivots = rooted.groupBy("bucket").agg(best).select("bucket", F.col("best.key").alias("pivot"), F.col("best.root").alias("pivot_root"))
+    pairs = rooted.join(pivots, "bucket").filter("root <> pivot_root")
+    return pairs.select(F.greatest("key", "pivot").alias("a"), F.least("key", "pivot").alias("b")).distinct()
+
+
+def _all_pairs(rooted: DataFrame) -> DataFrame:
+    """Every pair inside a bucket, between different components."""
+    two = rooted.select("bucket", F.col("key").alias("b"), F.col("root").alias("root_b"))
+    return rooted.join(two, "bucket").filter("root <> root_b and key > b").select(F.col("key").alias("a"), "b").distinct()
+
+
+def _linkable(texts: DataFrame, similarity: float) -> DataFrame:
+    """Keys of texts of which enough is shared with any other one.
+
+    What no other text holds is in the union with each and in no overlap: where it is more than 1 - ``similarity`` of a
+    text, the text has no link.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = ShingleHasher()
+        for batch in batches:
+            for key, text in zip(batch.column(0), byte_texts(batch.column(1)), strict=True):
+                shingles, counts = hasher.multiset(words(text))
+                keys = pa.array([key.as_py()] * len(shingles), pa.binary())
+                yield pa.RecordBatch.from_arrays([keys, pa.array(shingles.view(np.int64)), pa.array(counts.astype(np.int64))], names=["key", "shingle", "n"])
+
+    found = texts.select("key", "text").mapInArrow(run, "key binary, shingle long, n long")
+    lone = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.first("key").alias("key"), F.first("n").alias("n")).filter("holders = 1")
+    alone = lone.groupBy("key").agg(F.sum("n").alias("alone"))
+    rest = F.col("n_shingles") - F.coalesce("alone", F.lit(0))
+    return texts.select("key", "n_shingles").join(alone, "key", "left").filter(rest >= similarity * F.col("n_shingles")).select("key")
 
 
 def near_duplicate_classes(
@@ -222,26 +255,37 @@ def near_duplicate_classes(
         signed.filter("n_shingles > 0").groupBy("key").agg(F.min(F.struct("doc", "th")).alias("rep"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles")), "nodes"
     )
     buckets = nodes.select(F.explode("bands").alias("bucket"), "key")
-    low = buckets.groupBy("bucket").agg(F.min("key").alias("low"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket", "low")
-    shared = staged(buckets.join(low, "bucket"), "buckets")
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = staged(buckets.join(sizes, "bucket"), "buckets")
+    # A node is the more central, the more nodes it shares buckets with.
+    central = shared.groupBy("key").agg(F.sum(F.col("n") - 1).alias("central"))
+    shared = staged(shared.select("bucket", "key").join(central, "key"), "ranked-buckets")
 
     reps = nodes.select("key", "rep", "n_shingles").join(shared.select("key").distinct(), "key", "left_semi").select("key", "n_shingles", F.col("rep.doc").alias("rep_doc"), F.col("rep.th").alias("rep_th"))
     same = source["doc"].eqNullSafe(reps["rep_doc"]) & (source["th"] == reps["rep_th"])
     # Repeated rows of one id and text have one key; one of them is enough.
     texts = staged(source.join(reps, same).select("key", "n_shingles", "text").dropDuplicates(["key"]), "candidate-texts")
 
-    pairs = shared.filter("low < key").groupBy("key").agg(F.min("low").alias("b")).select(F.col("key").alias("a"), "b")
-    shared, edges, tested = shared.drop("low"), None, None
-    for round_ in range(-1, 3):
-        if round_ >= 0:
-            pairs = _cross_pairs(shared, labels, tested, round_)  # noqa: F821
-        pairs = staged(pairs, "pairs")
-        if round_ >= 0 and pairs.isEmpty():
-            continue
-        found = staged(_verified(pairs, texts, similarity), "links")
-        edges = found if edges is None else edges.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = components(edges)
+    rank = F.struct("central", "key")
+    pivots = shared.groupBy("bucket").agg(F.max(rank).alias("pivot"))
+    best = shared.join(pivots, "bucket").filter("pivot.key <> key").groupBy("key").agg(F.max("pivot").alias("pivot"))
+    pairs = staged(best.select(F.greatest("key", "pivot.key").alias("a"), F.least("key", "pivot.key").alias("b")).distinct(), "pairs")
+    tested, edges = pairs, staged(_verified(pairs, texts, similarity), "links")
+    labels = components(edges)
+    for draw in range(PIVOT_ROUNDS + 1):
+        rooted = _rooted(shared, labels)
+        if draw == 1:
+            open_texts = texts.join(rooted.select("key").distinct(), "key", "left_semi")
+            shared = staged(shared.join(_linkable(open_texts, similarity), "key", "left_semi"), "open-buckets")
+            rooted = _rooted(shared, labels)
+        pairs = _all_pairs(rooted) if draw == PIVOT_ROUNDS else _pivot_pairs(rooted, draw)
+        pairs = staged(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
+            links = staged(_verified(pairs, texts, similarity), "links")
+            tested = tested.unionByName(pairs)
+            if not links.isEmpty():
+                edges = edges.unionByName(links)
+                labels = components(edges)
 
     rooted = signed.select("doc", "th", "key").join(labels, "key", "left").select("doc", "th", F.coalesce("root", "key").alias("root"))
     # The smallest id that is not NULL stands for the class.
