@@ -14,8 +14,9 @@ has none, the text is drawn anew to twice that time. So no component is left ope
 Links. Equal word sequences are one node. Nodes that share a band are candidates. Round one compares each node with the most
 central node of its buckets (the one that shares buckets with most others; in a group of near copies, the text they come
 from). Later rounds only look at buckets whose nodes are still in several components: all others with the most central node
-of the bucket, then with nodes drawn by hash, and at last every pair across components that was not yet compared. Texts that
-hold too much of their own to be near any other leave before that, which is exact. So a large group of near copies costs about a comparison per member, and no
+of the bucket, then with nodes drawn by hash, and at last every pair across components that was not yet compared: of small
+buckets as rows, of large ones in blocks, from which only near pairs come out. Texts that hold too much of their own to be
+near any other leave before that, which is exact. So a large group of near copies costs about a comparison per member, and no
 pair that could join two components goes untested. With ``bands`` 25 and ``rows`` 5, a
 pair at similarity 0.8 shares no band with probability 5e-5.
 
@@ -27,11 +28,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremill.llm.common import byte_texts, staged
@@ -40,6 +42,8 @@ from featuremill.llm.decontamination import words
 SHINGLE = 5
 #: Rounds of one node per bucket against the others, before all pairs that are left.
 PIVOT_ROUNDS = 2
+#: Buckets of up to ``SMALL`` nodes give their pairs; larger ones are compared in blocks of about ``BLOCK`` nodes.
+SMALL, BLOCK = 8, 128
 _GOLD, _ODD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
@@ -198,6 +202,18 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
+@contextmanager
+def few_rows_a_batch(spark: SparkSession, rows: int = 4) -> Iterator[None]:
+    """While a job runs whose rows are large: few of them in an Arrow batch."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _rooted(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """Buckets that still hold several components, with the component of each node."""
     rooted = shared.join(labels, "key", "left").withColumn("root", F.coalesce("root", "key"))
@@ -215,11 +231,77 @@ def _pivot_pairs(rooted: DataFrame, draw: int = 0) -> DataFrame:
 
 
 def _all_pairs(rooted: DataFrame) -> DataFrame:
-    """Every pair inside a bucket, between different components."""
+    """Every pair inside a bucket, between different components; for buckets of bounded size."""
     two = rooted.select("bucket", F.col("key").alias("b"), F.col("root").alias("root_b"))
     return rooted.join(two, "bucket").filter("root <> root_b and key > b").select(F.col("key").alias("a"), "b").distinct()
 
 
+def _near_in_blocks(rooted: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of large buckets that are near, between different components; only these leave a task.
+
+    The nodes of a bucket are dealt to blocks of about ``BLOCK``, and every two blocks are one row, compared as a matrix. A
+    pair that shares several buckets is compared in the first of them.
+    """
+    count = F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")
+    placed = rooted.join(rooted.groupBy("bucket").agg(count), "bucket").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
+    whole = placed.join(texts.select("key", "text").join(nodes.select("key", "bands"), "key"), "key")
+    members = F.collect_list(F.struct("key", "root", "bands", "text")).alias("members")
+    blocks = staged(whole.groupBy("bucket", "block").agg(members), "blocks")
+    other = blocks.select("bucket", F.col("block").alias("block_b"), F.col("members").alias("members_b"))
+    joined = blocks.join(other, "bucket").filter("block <= block_b").select("bucket", "members", "members_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = ShingleHasher()
+        for batch in batches:
+            for bucket, left, right in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = near_pairs(hasher, bucket, left, right, similarity)
+                ends = [pa.array([x[i] for x in found], pa.binary()) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+
+    return joined.mapInArrow(run, "a binary, b binary")
+
+
+def near_pairs(hasher: ShingleHasher, bucket: int, left: list[dict], right: list[dict], similarity: float) -> list[tuple[bytes, bytes]]:
+    """Pairs (a, b), a > b, of two blocks whose first common bucket is this one."""
+    keys = [[bytes(x["key"]) for x in side] for side in (left, right)]
+    bands = [np.array([x["bands"] for x in side], np.int64) for side in (left, right)]
+    rank = {k: i for i, k in enumerate(sorted({*keys[0], *keys[1]}))}
+    order = [np.array([rank[k] for k in side]) for side in keys]
+    names: dict[bytes, int] = {}
+    roots = [np.array([names.setdefault(bytes(x["root"]), len(names)) for x in side]) for side in (left, right)]
+    same = bands[0][:, None, :] == bands[1][None, :, :]
+    first = np.take_along_axis(np.broadcast_to(bands[0][:, None, :], same.shape), same.argmax(2)[:, :, None], 2)[:, :, 0]
+    # Two different blocks hold different nodes; a block with itself has every pair twice.
+    wanted = same.any(2) & (first == bucket) & (roots[0][:, None] != roots[1][None, :])
+    if keys[0] == keys[1]:
+        wanted &= order[0][:, None] > order[1][None, :]
+    if not wanted.any():
+        return []
+    owner, tokens, sizes = [], [], []
+    for i, x in enumerate([*left, *right]):
+        shingles, counts = hasher.multiset(words(x["text"].encode()))
+        # The k-th occurrence of a shingle is a token of its own: overlaps of multisets become overlaps of sets.
+        level = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        tokens.append(_mix(np.repeat(shingles, counts) + level.astype(np.uint64) * _GOLD))
+        owner.append(np.full(len(tokens[-1]), i))
+        sizes.append(len(tokens[-1]))
+    held, which, times = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+    which, owners, shared = which.ravel(), np.concatenate(owner), times > 1
+    column = np.cumsum(shared) - 1
+    keep = shared[which]
+    which, owners, width = column[which[keep]], owners[keep], int(shared.sum())
+    overlap = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, width, 20_000):
+        here = (which >= at) & (which < at + 20_000)
+        table = np.zeros((len(left) + len(right), min(20_000, width - at)), np.float32)
+        table[owners[here], which[here] - at] = 1
+        overlap += table[: len(left)] @ table[len(left) :].T
+    total = np.array(sizes, np.float64)
+    joint = total[: len(left), None] + total[None, len(left) :] - overlap
+    near = np.argwhere(wanted & (overlap >= similarity * joint - 1e-6))
+    return [tuple(sorted((keys[0][i], keys[1][j]), reverse=True)) for i, j in near]
+
+
 def _linkable(texts: DataFrame, similarity: float) -> DataFrame:
     """Keys of texts of which enough is shared with any other one.
 
@@ -278,7 +360,15 @@ def near_duplicate_classes(
             open_texts = texts.join(rooted.select("key").distinct(), "key", "left_semi")
             shared = staged(shared.join(_linkable(open_texts, similarity), "key", "left_semi"), "open-buckets")
             rooted = _rooted(shared, labels)
-        pairs = _all_pairs(rooted) if draw == PIVOT_ROUNDS else _pivot_pairs(rooted, draw)
+        if draw < PIVOT_ROUNDS:
+            pairs = _pivot_pairs(rooted, draw)
+        else:
+            sized = rooted.join(rooted.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "bucket")
+            large = staged(sized.filter(F.col("n") > SMALL).drop("n"), "large-buckets")
+            pairs = _all_pairs(sized.filter(F.col("n") <= SMALL).drop("n"))
+            if not large.isEmpty():
+                with few_rows_a_batch(texts.sparkSession):
+                    pairs = pairs.unionByName(staged(_near_in_blocks(large, nodes, texts, similarity), "near")).distinct()
         pairs = staged(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
             links = staged(_verified(pairs, texts, similarity), "links")

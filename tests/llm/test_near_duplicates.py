@@ -117,3 +117,33 @@ def test_components(spark):
             root[a] = root[b] = min(root[a], root[b])
     made = {bytes(r.key): bytes(r.root) for r in op.components(spark.createDataFrame(pairs, "a binary, b binary")).collect()}
     assert made == {n: root[n] for p in pairs for n in p}
+
+
+def test_blocks_find_the_near_pairs():
+    rng = random.Random(6)
+    base, nodes = prose(7, 60).split(), []
+    for i in range(30):
+        own = base.copy()
+        for _ in range(rng.randint(0, 3)):
+            own[rng.randrange(60)] = f"w{rng.randrange(9)}"
+        nodes.append({"key": bytes([i]), "root": bytes([i % 7]), "bands": [5, i % 3, 9 if i % 2 else i], "text": " ".join(own + own[:3] * (i % 2))})
+    want = set()
+    for x in nodes:
+        for y in nodes:
+            common = next((p for p, q in zip(x["bands"], y["bands"], strict=True) if p == q), None)
+            if x["key"] > y["key"] and x["root"] != y["root"] and common == 5 and jaccard(bag(x["text"]), bag(y["text"])) >= 0.8:
+                want.add((x["key"], y["key"]))
+    hasher, found = op.ShingleHasher(), []
+    blocks = [nodes[:11], nodes[11:20], nodes[20:]]
+    for i, left in enumerate(blocks):
+        for right in blocks[i:]:
+            found += op.near_pairs(hasher, 5, left, right, 0.8)
+    assert len(found) == len(set(found)) and set(found) == want
+    assert op.near_pairs(hasher, 6, nodes[:11], nodes[11:20], 0.8) == []
+
+
+def test_large_buckets_go_through_blocks(spark, monkeypatch):
+    monkeypatch.setattr(op, "SMALL", 2)
+    monkeypatch.setattr(op, "BLOCK", 5)
+    monkeypatch.setattr(op, "PIVOT_ROUNDS", 1)
+    test_chains_and_large_groups(spark)
