@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+#: Rows of an Arrow batch that are Python objects at a time.
+SLICE_ROWS = 2_000
 ASCII_SPACE = b" \t\n\x0b\x0c\r"
 
 
@@ -75,8 +77,8 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target, work = to_arrow_schema(schema), open_task()
         for batch in batches:
-            if batch.num_rows:
-                columns = dict(zip(sent, batch.columns, strict=True))
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                columns = dict(zip(sent, batch.slice(at, SLICE_ROWS).columns, strict=True))
                 made = work(columns, byte_texts(columns[text]))
                 yield pa.RecordBatch.from_arrays([*(columns[c] for c in kept), *made], schema=target)
 

@@ -6,9 +6,9 @@ one standard error; words that were never met so are 0. Beginnings let a score r
 
 Passages. Each token's score less a ``drift`` makes the expected score negative; one linear scan finds all maximal
 segments. The best segment of a clean text of n words has an extreme-value distribution, P(best >= x) = 1 - exp(-K n exp(-lambda x)),
-whose parameters are fitted to clean labelled texts. A segment is significant where it would be met less than once in such a text.
+whose parameters are fitted to clean labelled texts. Listed passages are expected less than ``SIGNIFICANT`` times in such a text.
 
-Documents. The chance of the best segment, the summed evidence of the significant segments and their density go into a
+Documents. The chance of the best segment, the summed evidence of all segments expected less than once, and their density go into a
 logistic regression. Token scores and calibration use different labelled rows, at most ``per_class`` rows of each class, the
 first in order of a hash of the id; scoring covers every row and every word.
 
@@ -28,11 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from featuremill.llm.common import byte_texts, map_texts, staged
 from featuremill.llm.decontamination import words as folded_words
 
 SHORTEST, LONGEST = 3, 14
+#: A passage is listed where fewer than so many are expected in a clean text of the same length.
+SIGNIFICANT = 0.05
 
 
 def words(text: bytes) -> list[bytes]:
@@ -91,7 +94,7 @@ class ToxicityModel:
             return np.zeros(3)
         expected = np.maximum(self.expected(n_words, found), 1e-26)
         least = expected.min()
-        significant = expected < 1
+        significant = expected < 1  # evidence below the level of a listed passage counts too
         return np.array([
             min(60.0, -log(-np.expm1(-least))),
             np.log1p(-np.log(expected[significant]).sum()),
@@ -254,23 +257,25 @@ def score_documents(
         scorer = Scorer(model)
 
         def work(columns: dict[str, pa.Array], texts: list[bytes]) -> list[pa.Array]:
-            chances, spans = [], []
+            chances, ends, flat = [], [0], ([], [], [], [])
             for text in texts:
                 n, found = scorer.segments(text)
                 values = np.array([x[2] for x in found])
                 chances.append(model.probability(model.evidence(n, values)))
-                if passages:
-                    expected = model.expected(n, values) if found else ()
-                    spans.append([{"start": a, "end": b, "score": s, "expected": float(e)} for (a, b, s), e in zip(found, expected, strict=True) if e < 1])
+                if passages and found:
+                    expected = model.expected(n, values)
+                    for i in np.flatnonzero(expected < SIGNIFICANT):
+                        for column, value in zip(flat, (*found[i], float(expected[i])), strict=True):
+                            column.append(value)
+                ends.append(len(flat[0]))
             made = [pa.array(chances, pa.float64())]
-            return [*made, pa.array(spans, _arrow(PASSAGE))] if passages else made
+            if passages:
+                kind = to_arrow_type(PASSAGE)
+                parts = [pa.array(column, field.type) for column, field in zip(flat, kind.value_type, strict=True)]
+                made.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(parts, fields=list(kind.value_type))))
+            return made
 
         return work
 
     return map_texts(docs, text_col, T.StructType(fields), open_task, list(carry))
 
-
-def _arrow(kind: T.DataType) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(kind)
