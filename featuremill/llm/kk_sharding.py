@@ -5,7 +5,8 @@ opposite order, largest to smallest, until one is left; reading the combinations
 
 On Spark, groups of equal texts are dealt to blocks by digest. A task differences one block into one partial partition; these
 are differenced again, ``fan_in`` at a time, until one is left, so no task holds more than a block or ``fan_in`` partial
-partitions. A hot group is one item with a large size, whatever its number of rows. Slots are numbered inside bounded
+partitions. A hot group is one item with a large size, whatever its number of rows; groups too large for a block come first,
+and the blocks are filled against them. Slots are numbered inside bounded
 slices of a shard and shifted by the counts of earlier slices.
 
 Defined results: the size of a row is its UTF-8 bytes plus 1; NULL and empty texts are one group of size 1 a row; a group larger
@@ -68,13 +69,28 @@ def _blocks(n: int, most: int) -> int:
 
 
 def group_shards(groups: DataFrame, shards: int, block_groups: int = 50_000, fan_in: int = 512) -> DataFrame:
-    """(digest, size) to (digest, shard)."""
-    n_blocks = _blocks(groups.count(), block_groups)
+    """(digest, size) to (digest, shard).
+
+    A group above a block's even share cannot be balanced inside a block. Such groups, at most ``shards`` for each block, are
+    placed first by the same means; every block then begins with its part of their sums and fills up against them.
+    """
+    found = groups.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")).first()
+    n_blocks = _blocks(found.n, block_groups)
+    large = None
+    if n_blocks > 1:
+        share = found.total // (shards * n_blocks)
+        if not groups.filter(F.col("size") > share).isEmpty():
+            large = staged(group_shards(groups.filter(F.col("size") > share), shards, block_groups, fan_in).join(groups, "digest"), "shard-large")
+            groups = groups.filter(F.col("size") <= share)
+    sums = {r.shard: r.total for r in large.groupBy("shard").agg(F.sum("size").alias("total")).collect()} if large else {}
 
     def leaf_block(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["size", "digest"], ascending=[False, True], kind="stable")
-        _, places = difference([[0] * (shards - 1) + [int(s)] for s in rows["size"]])
-        return pd.DataFrame({"unit": rows["unit"], "digest": rows["digest"], "size": rows["size"], "part": [p[-1] for p in places]})
+        given = [sums.get(j, 0) // n_blocks for j in range(shards)]
+        _, places = difference([given, *([0] * (shards - 1) + [int(s)] for s in rows["size"])])
+        # Parts are named by the shard of the given sums that they hold.
+        name = {p: j for j, p in enumerate(places[0])}
+        return pd.DataFrame({"unit": rows["unit"], "digest": rows["digest"], "size": rows["size"], "part": [name[p[-1]] for p in places[1:]]})
 
     def joint_block(rows: pd.DataFrame) -> pd.DataFrame:
         table = rows.pivot_table(index="unit", columns="part", values="size", aggfunc="sum", fill_value=0).reindex(columns=range(shards), fill_value=0)
@@ -86,18 +102,20 @@ def group_shards(groups: DataFrame, shards: int, block_groups: int = 50_000, fan
     leaves = staged(
         groups.select(unit, "digest", "size").groupBy("unit").applyInPandas(leaf_block, "unit long, digest binary, size long, part int"), "shard-groups"
     )
-    placed, sums, n = leaves.select("digest", "unit", "part"), leaves.groupBy("unit", "part").agg(F.sum("size").alias("size")), n_blocks
+    if large:
+        return leaves.select("digest", F.col("part").alias("shard")).unionByName(large.select("digest", "shard"))
+    placed, parts, n = leaves.select("digest", "unit", "part"), leaves.groupBy("unit", "part").agg(F.sum("size").alias("size")), n_blocks
     while True:
         n_next = _blocks(n, fan_in)
         joint = staged(
-            sums.withColumn("parent", F.pmod("unit", F.lit(n_next))).groupBy("parent").applyInPandas(joint_block, "parent long, unit long, part int, to int, size long"),
+            parts.withColumn("parent", F.pmod("unit", F.lit(n_next))).groupBy("parent").applyInPandas(joint_block, "parent long, unit long, part int, to int, size long"),
             "shard-sums",
         )
         # At most ``shards`` rows per block: small beside the groups, and joined by its measured size.
         placed = placed.join(joint.select("unit", "part", "parent", "to"), ["unit", "part"]).select("digest", F.col("parent").alias("unit"), F.col("to").alias("part"))
         if n_next == 1:
             return placed.select("digest", F.col("part").alias("shard"))
-        sums, n = joint.groupBy(F.col("parent").alias("unit"), F.col("to").alias("part")).agg(F.sum("size").alias("size")), n_next
+        parts, n = joint.groupBy(F.col("parent").alias("unit"), F.col("to").alias("part")).agg(F.sum("size").alias("size")), n_next
 
 
 def shard_documents(
