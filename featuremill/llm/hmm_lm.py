@@ -5,8 +5,8 @@ Tokens are the A-Z lower-cased words between ASCII white space, then one end. La
 letters, and the end is one more. A word of a shared class has the add-one share of its count in that class, so the model gives
 every word a probability, and what it knows of words is the count of every word of the corpus.
 
-Counting is one aggregation over all training texts. The ``frequent`` most frequent words (a fixed number) go to every task with
-their counts; the others are joined, once per text and word. Texts are kept as class numbers in the shared folder. Each
+Counting is one aggregation over all training texts. The most frequent words, at most ``frequent``, go to every task with their
+counts; the others are joined, once per text and word. Texts are kept as class numbers in the shared folder. Each
 Baum-Welch step adds up the expected counts of all training tokens: tasks run forward and backward over segments of at most
 ``segment`` tokens, a segment inside a text beginning with the stationary state distribution. Expected counts are summed as
 integers (2**20 to one), so no order of tasks changes the model. Scoring runs the forward recursion over whole texts, many texts
@@ -109,9 +109,17 @@ def count_corpus(texts: DataFrame, shape: Shape) -> tuple[DataFrame, Counts]:
     """All word counts as a table, and what of them goes to every task."""
     counts = staged(word_counts(texts), "word-counts")
     ends = texts.count()
-    # A fixed number of words, whatever the corpus.
-    top = counts.orderBy(F.desc("n"), "word").limit(shape.frequent).toArrow()
-    words, numbers = top.column("word").to_pylist(), np.array(top.column("n").to_pylist(), np.int64)
+    # A fixed number of words at most, whatever the corpus: a histogram of at most 512 bins says from which count on.
+    size = F.floor(F.log2("n") * 8)
+    least, total = None, 0
+    for r in sorted(counts.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):
+        total += r.words
+        if total > shape.frequent:
+            break
+        least = r["size"]
+    top = counts.filter(F.lit(False) if least is None else size >= least).toArrow()
+    ranked = sorted(zip(top.column("n").to_pylist(), top.column("word").to_pylist(), strict=True), key=lambda x: (-x[0], x[1]))
+    words, numbers = [w for _, w in ranked], np.array([n for n, _ in ranked], np.int64)
     classes = np.array([i if i < shape.own_classes else shape.shared(w) for i, w in enumerate(words)], np.int64)
     owners = words[: shape.own_classes]
 
