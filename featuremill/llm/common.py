@@ -7,6 +7,7 @@ columns never clash; NULL text is empty text; rows with equal ids are separate r
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -33,7 +34,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = os.path.join(tempfile.gettempdir(), "featuremill-shared")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
