@@ -46,3 +46,9 @@ def folded_words(text: str | None) -> list[str]:
 
 def spaced_words(text: str | None) -> list[str]:
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def odd_tables(spark: SparkSession, base: str, rows: list[tuple] | None = None) -> str:
+    """A folder with a documents table of odd rows, for the registered queries."""
+    odd_docs(spark, rows, clashes=False).write.parquet(f"{base}/documents.parquet")
+    return base
