@@ -7,21 +7,19 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featuremill.functions.hexgrid import ring_steps
+from featuremill.operators.grids import PLANAR, Grid
 
 
-def scatter(df: DataFrame, cell: str, k: int, centre: str = "h3_index", ring: str = "ring") -> DataFrame:
+def scatter(df: DataFrame, cell: str, k: int, centre: str = "h3_index", ring: str = "ring", grid: Grid = PLANAR) -> DataFrame:
     """Send every row to all centres within k steps of its cell.
 
     Being a neighbour is symmetric, so instead of expanding each centre to its
     ring and joining the data, the data rows are expanded to the centres they
     count for. A ring aggregate is then a single map-side combined ``groupBy``
-    with no join. Reduce ``df`` to one row per cell first.
+    with no join. Reduce ``df`` to one row per cell first. Cells and centres are
+    in the grid's inner form.
     """
-    rest = [c for c in df.columns if c != cell]
-    return df.select(*rest, cell, F.explode(ring_steps(k)).alias("_n")).select(
-        *rest, (F.col(cell) + F.col("_n.step")).alias(centre), F.col("_n.ring").alias(ring)
-    )
+    return grid.scatter(df, cell, k, centre, ring)
 
 
 def ring_sums(
@@ -31,6 +29,7 @@ def ring_sums(
     rings: Iterable[int],
     as_type: str = "bigint",
     reduce: Mapping[str, Column] | None = None,
+    grid: Grid = PLANAR,
 ) -> DataFrame:
     """Per centre: sums of each measure over ring <= r, and ``nearest``, the least ring with data.
 
@@ -39,12 +38,13 @@ def ring_sums(
     must be a minimum, since minima are taken again. Scattered rows are first
     added up per (centre, ring), which is a handful of sums for each of the many
     rows; only the at most ``k + 1`` rows left per centre go through the wide
-    ring conditions.
+    ring conditions. ``reduce`` sees the centre ``h3_index`` in the grid's inner form;
+    cells of ``df`` and of the result are ids.
     """
     rings = list(rings)
     extra = dict(reduce or {})
     per_ring = (
-        scatter(df, cell, max(rings))
+        scatter(grid.inner(df, cell), cell, max(rings), grid=grid)
         .groupBy("h3_index", "ring")
         .agg(*[F.sum(m).alias(m) for m in measures], *[c.alias(n) for n, c in extra.items()])
     )
@@ -53,4 +53,5 @@ def ring_sums(
         for r in rings:
             total = F.sum(F.when(F.col("ring") <= r, F.col(m)))
             out.append(F.coalesce(total, F.lit(0)).cast(as_type).alias(pattern.format(r=r)))
-    return per_ring.groupBy("h3_index").agg(F.min("ring").alias("nearest"), *[F.min(n).alias(n) for n in extra], *out)
+    wide = per_ring.groupBy("h3_index").agg(F.min("ring").alias("nearest"), *[F.min(n).alias(n) for n in extra], *out)
+    return grid.outer(wide, "h3_index")

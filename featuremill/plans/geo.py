@@ -1,17 +1,20 @@
-"""Hexagon features: every builder is a scatter to neighbouring centres and one aggregation."""
+"""Hexagon features: every builder is a scatter to neighbouring centres and one aggregation.
+
+``grid`` says what the cells are: ids of our plane (the default), or of the public grid, which other tables can be joined to.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featuremill.functions import hexgrid
 from featuremill.functions.dates import day
 from featuremill.functions.ratios import ratio_eps
+from featuremill.operators.grids import PLANAR, Grid
 from featuremill.operators.rings import ring_sums
 from featuremill.sources.scan import latest_snapshot
 from featuremill.sources.schema import fill_by_type
@@ -33,7 +36,7 @@ POI_CATEGORIES = {
 }
 
 
-def hex_user_activity(activity: DataFrame, as_of: date) -> DataFrame:
+def hex_user_activity(activity: DataFrame, as_of: date, grid: Grid = PLANAR) -> DataFrame:
     """Views and orders within rings 0..5 and the last 30, 60 and 90 days, per active cell."""
     age = F.datediff(day(as_of), F.col("day"))
     per_cell = activity.where(age.between(0, max(WINDOWS) - 1)).groupBy("h3_index").agg(
@@ -44,7 +47,7 @@ def hex_user_activity(activity: DataFrame, as_of: date) -> DataFrame:
     )
     measures = {f"{m}_{w}": f"{m}_r{{r}}_{w}d" for m in ("views", "orders") for w in WINDOWS}
     return (
-        ring_sums(per_cell, "h3_index", measures, RINGS)
+        ring_sums(per_cell, "h3_index", measures, RINGS, grid=grid)
         # Centres are the cells with data of their own, which reach themselves at ring 0.
         .where("nearest = 0")
         .select(day(as_of).alias("date"), "h3_index", *_names(measures))
@@ -55,7 +58,7 @@ def _names(measures: Mapping[str, str]) -> list[str]:
     return [p.format(r=r) for p in measures.values() for r in RINGS]
 
 
-def hex_user_location(locations: DataFrame, as_of: date) -> DataFrame:
+def hex_user_location(locations: DataFrame, as_of: date, grid: Grid = PLANAR) -> DataFrame:
     """Users within rings 0..5 on the newest snapshot up to the day."""
     users = (
         latest_snapshot(locations, "report_date", as_of)
@@ -64,34 +67,38 @@ def hex_user_location(locations: DataFrame, as_of: date) -> DataFrame:
     measures = {"users": "users_r{r}"}
     return (
         # All rows are of one snapshot, so its date is also the least one.
-        ring_sums(users, "h3_index", measures, RINGS, reduce={"report_date": F.min("report_date")})
+        ring_sums(users, "h3_index", measures, RINGS, reduce={"report_date": F.min("report_date")}, grid=grid)
         .where("nearest = 0")
         .select(day(as_of).alias("date"), "h3_index", "report_date", *_names(measures))
     )
 
 
-def hex_demography(demography: DataFrame, as_of: date, regions: DataFrame | None = None) -> DataFrame:
+def hex_demography(
+    demography: DataFrame, as_of: date, regions: DataFrame | None = None, grid: Grid = PLANAR, stage: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """Population and foot traffic per cumulative ring for all cells near data, with parent sums.
 
-    ``regions`` (h3_index, region) labels cells; cells without a label get NULL.
+    ``regions`` (h3_index, region) labels cells; cells without a label get NULL. With ``stage`` the ring sums are written
+    before the joins; on the public grid that keeps conditions on the cell from being planned through its arithmetic.
     """
     facts = {"population": "population", "traffic_index": "pedestrian_traffic_index"}
     base = demography.where("population > 0 or traffic_index > 0").select(
         "h3_index", *[F.coalesce(c, F.lit(0.0)).cast("double").alias(c) for c in facts]
     )
     measures = {c: f"{out}_r{{r}}" for c, out in facts.items()}
-    out = ring_sums(base, "h3_index", measures, RINGS, "double")
+    out = ring_sums(base, "h3_index", measures, RINGS, "double", grid=grid)
+    out = out if stage is None else stage(out)
     for lv in PARENT_LEVELS:
-        parent = base.groupBy(hexgrid.parent_cell(F.col("h3_index"), lv).alias("_parent")).agg(
+        parent = base.groupBy(grid.parent(F.col("h3_index"), lv).alias("_parent")).agg(
             *[F.sum(c).alias(f"{name}_l{lv}") for c, name in facts.items()]
         )
-        out = out.withColumn("_parent", hexgrid.parent_cell(F.col("h3_index"), lv)).join(parent, "_parent", "left").drop("_parent")
+        out = out.withColumn("_parent", grid.parent(F.col("h3_index"), lv)).join(parent, "_parent", "left").drop("_parent")
     region = F.lit(None).cast("string").alias("region")
     if regions is not None:
         out = out.join(regions.select("h3_index", "region"), "h3_index", "left")
         region = F.col("region")
     return out.select(
-        day(as_of).alias("date"), "h3_index", hexgrid.cell_text(F.col("h3_index")).alias("h3_string"), region,
+        day(as_of).alias("date"), "h3_index", grid.text(F.col("h3_index")).alias("h3_string"), region,
         *_names(measures),
         *[
             F.coalesce(f"{name}_l{lv}", F.lit(0.0)).alias(f"{name}_l{lv}")
@@ -100,7 +107,9 @@ def hex_demography(demography: DataFrame, as_of: date, regions: DataFrame | None
     )
 
 
-def hex_poi_counts(poi: DataFrame, as_of: date, categories: Mapping[str, str] = POI_CATEGORIES) -> DataFrame:
+def hex_poi_counts(
+    poi: DataFrame, as_of: date, categories: Mapping[str, str] = POI_CATEGORIES, grid: Grid = PLANAR
+) -> DataFrame:
     """Points of interest per category and cumulative ring, on the newest snapshot."""
     # The newest day as a range of the raw column, so that files of older days are skipped.
     begins = F.date_trunc("day", poi.select(F.max("inserted_at")).scalar())
@@ -111,7 +120,7 @@ def hex_poi_counts(poi: DataFrame, as_of: date, categories: Mapping[str, str] =
     )
     measures = {k: f"{k}_r{{r}}" for k in categories}
     return (
-        ring_sums(per_cell, "h3_index", measures, RINGS)
+        ring_sums(per_cell, "h3_index", measures, RINGS, grid=grid)
         .select(day(as_of).alias("date"), "h3_index", *_names(measures))
     )
 
@@ -136,6 +145,7 @@ def hex_neighbour_orders(
     point_types: tuple[str, ...] = ("DELIVERY_POINT", "FRANCHISE"),
     in_shop_type: str = "UZ_POST",
     openings: DataFrame | None = None,
+    grid: Grid = PLANAR,
 ) -> DataFrame:
     """Orders, turnover and number of points around each cell, and distance to the nearest ones.
 
@@ -172,13 +182,13 @@ def hex_neighbour_orders(
     points = (
         delivery_points.select(
             F.col("id").alias("delivery_point_id"), lat.alias("lat"), lon.alias("lon"),
-            hexgrid.cell_of(lat, lon).alias("cell"),
             F.col("type").isin(*point_types).alias("is_point"),
             (F.col("type") == in_shop_type).alias("in_shop"),
         )
         .join(opened, "delivery_point_id", "left")
         .join(per_point, "delivery_point_id", "left")
     )
+    points = grid.with_cell(points, "lat", "lon", "cell")
     # Points not open yet count for nothing, but the cells around them are targets too.
     open_now = F.coalesce(F.col("opened") <= day(as_of), F.lit(False))
     counted = points.select(
@@ -192,11 +202,12 @@ def hex_neighbour_orders(
         ],
     )
     centre = F.col("h3_index")
-    gap = hexgrid.distance_m(hexgrid.centre_lat(centre), hexgrid.centre_lon(centre), F.col("lat"), F.col("lon"))
+    gap = grid.distance_m(centre, F.col("lat"), F.col("lon"))
     measures = {f"{m}_{w}": f"{m}_r{{r}}_h{w}" for m in ("orders", "gmv", "unique_dp") for w in WINDOWS}
     near = ring_sums(
         counted, "cell", measures, RINGS, "double",
         reduce={f"_{flag}": F.min(F.when(F.col(flag), gap)) for flag in ("is_point", "in_shop")},
+        grid=grid,
     )
 
     def nearest(flag: str) -> Column:
@@ -204,7 +215,7 @@ def hex_neighbour_orders(
         return F.when(least == 0, F.lit(FAR_AWAY_M)).otherwise(least)
 
     return near.select(
-        day(as_of).alias("date"), "h3_index", hexgrid.cell_text(centre).alias("h3_string"),
+        day(as_of).alias("date"), "h3_index", grid.text(centre).alias("h3_string"),
         nearest("is_point").alias("min_dist_to_dp_m"),
         nearest("in_shop").alias("min_dist_to_inshop_m"),
         *[

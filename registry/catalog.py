@@ -10,6 +10,7 @@ from featuremill.operators.staging import write_stage
 from featuremill.sources.star_views import StarViews
 from registry.gold_queries import GOLD
 from registry.kernel_queries import KERNELS, ROWS, SCANS
+from registry.public_grid import PUBLIC_GRID
 from registry.relational_queries import AGGREGATES, EXTRA, JOINS, QUALITY, RE_AIMED
 from registry.silver_queries import SILVER
 from registry.views_sql import with_views
@@ -24,6 +25,6 @@ def _bind(build: Callable[[StarViews], DataFrame]) -> Callable[[SparkSession, st
     return run
 
 
-_ALL = {**SILVER, **GOLD, **SCANS, **KERNELS, **ROWS, **JOINS, **AGGREGATES, **RE_AIMED, **QUALITY}
+_ALL = {**SILVER, **GOLD, **SCANS, **KERNELS, **ROWS, **JOINS, **AGGREGATES, **RE_AIMED, **PUBLIC_GRID, **QUALITY}
 QUERIES = {name: _bind(build) for name, (build, _) in _ALL.items()}
 ORACLES = {name: with_views(sql, EXTRA) for name, (_, sql) in _ALL.items() if sql is not None}
