@@ -49,7 +49,11 @@ class TestBlock:
     first: np.ndarray  # suffix that stands for each distinct window
     lengths: np.ndarray  # words of each distinct window
     holders: list[list[int]]  # item numbers of each distinct window
-    deepest: int
+    deepest: int  # words of the longest item
+
+    @property
+    def longest_window(self) -> int:
+        return int(self.lengths.max(initial=1))
 
 
 def test_block(rows: list[tuple[str, str | None]], window: int) -> TestBlock:
@@ -79,24 +83,25 @@ def test_block(rows: list[tuple[str, str | None]], window: int) -> TestBlock:
 
 
 class SuffixArray:
-    """Suffixes of ``tokens`` that begin with at least ``shortest`` non-zero tokens, sorted to ``depth`` tokens."""
+    """Suffixes of ``tokens`` that begin with at least ``shortest`` non-zero tokens, sorted to ``depth`` tokens.
+
+    Windows need the depth of the longest window only, longest matches that of the longest item.
+    """
 
     def __init__(self, tokens: np.ndarray, top: int, shortest: int, depth: int) -> None:
         self.bits = max(1, int(top).bit_length())
         self.per_key = 62 // self.bits
-        self.tokens = np.concatenate([tokens, np.zeros(depth + self.per_key, np.int32)])
-        zeros = np.flatnonzero(self.tokens == 0)
-        run = zeros[np.searchsorted(zeros, np.arange(len(tokens)))] - np.arange(len(tokens)) if len(tokens) else np.zeros(0, np.int64)
-        at = np.flatnonzero(run >= shortest)
+        self.tokens, self.run = self._runs(tokens)
+        at = np.flatnonzero(self.run[: len(tokens)] >= shortest)
         self.levels = -(-depth // self.per_key)
         # Sort by the first keys, then refine only suffixes that are still tied.
-        order = at[np.argsort(self.key(self.tokens, at, 0), kind="stable")]
-        group = self._groups(np.zeros(len(order), np.int64), self.key(self.tokens, order, 0))
+        order = at[np.argsort(self.key(self.tokens, self.run, at, 0), kind="stable")]
+        group = self._groups(np.zeros(len(order), np.int64), self.key(self.tokens, self.run, order, 0))
         for level in range(1, self.levels):
             tied = np.flatnonzero(np.bincount(group, minlength=1)[group] > 1) if len(group) else group
             if not len(tied):
                 break
-            keys = self.key(self.tokens, order[tied], level)
+            keys = self.key(self.tokens, self.run, order[tied], level)
             by = np.lexsort((keys, group[tied]))
             order[tied], keys = order[tied][by], keys[by]
             finer = np.zeros(len(order), np.int64)
@@ -112,38 +117,40 @@ class SuffixArray:
         new = (np.diff(coarse) != 0) | (np.diff(fine) != 0)
         return np.concatenate([[0], np.cumsum(new)])
 
-    def key(self, tokens: np.ndarray, at: np.ndarray, level: int) -> np.ndarray:
+    @staticmethod
+    def _runs(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens with a zero behind them, and from each position the number of tokens before the next zero."""
+        tokens = np.concatenate([tokens, np.zeros(1, np.int32)])
+        zeros = np.flatnonzero(tokens == 0)
+        at = np.arange(len(tokens))
+        return tokens, zeros[np.searchsorted(zeros, at)] - at
+
+    def key(self, tokens: np.ndarray, run: np.ndarray, at: np.ndarray, level: int) -> np.ndarray:
         """``per_key`` tokens from ``at`` on, as one integer in their order; nothing behind a zero counts."""
-        made, alive = np.zeros(len(at), np.int64), np.ones(len(at), bool)
-        if level:  # a suffix that ended before this level has only zeros left
-            for k in range(level * self.per_key):
-                alive &= tokens[at + k] != 0
+        made, own = np.zeros(len(at), np.int64), run[at]
         for k in range(level * self.per_key, (level + 1) * self.per_key):
-            token = np.where(alive, tokens[np.minimum(at + k, len(tokens) - 1)], 0)
-            alive &= token != 0
-            made = (made << self.bits) | token
+            made = (made << self.bits) | np.where(own > k, tokens[np.minimum(at + k, len(tokens) - 1)], 0)
         return made
 
     def bounds(self, tokens: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of each query (``lengths`` tokens from ``at``): the range of suffixes that begin with it."""
-        tokens = np.concatenate([tokens, np.zeros(self.levels * self.per_key + 1, np.int32)])
-        wanted = []
-        for level in range(self.levels):
-            cut = np.clip((level + 1) * self.per_key - lengths, 0, self.per_key) * self.bits
-            wanted.append((self.key(tokens, at, level) >> cut, cut))
-        return self._search(wanted, False), self._search(wanted, True)
-
-    def _search(self, wanted: list[tuple[np.ndarray, np.ndarray]], right: bool) -> np.ndarray:
-        lo, hi = np.zeros(len(wanted[0][0]), np.int64), np.full(len(wanted[0][0]), len(self.order), np.int64)
+        """Of each query (``lengths`` tokens from ``at``, at most the array's depth): the range of suffixes that begin with it."""
+        query = (*self._runs(tokens), at, lengths)
+        return self._search(*query, False), self._search(*query, True)
+
+    def _search(self, tokens: np.ndarray, run: np.ndarray, at: np.ndarray, lengths: np.ndarray, right: bool) -> np.ndarray:
+        lo, hi = np.zeros(len(at), np.int64), np.full(len(at), len(self.order), np.int64)
         while (open_ := np.flatnonzero(lo < hi)).size:
             mid = (lo[open_] + hi[open_]) >> 1
             suffix = self.order[mid]
             less, undecided = np.zeros(len(mid), bool), np.arange(len(mid))
-            for level, (key, cut) in enumerate(wanted):
+            for level in range(self.levels):
+                # Only the first tokens of a query count; a level is looked at where all before it were the same.
                 q = open_[undecided]
-                have = self.key(self.tokens, suffix[undecided], level) >> cut[q]
-                less[undecided[have < key[q]]] = True
-                undecided = undecided[have == key[q]]
+                cut = np.clip((level + 1) * self.per_key - lengths[q], 0, self.per_key) * self.bits
+                want = self.key(tokens, run, at[q], level) >> cut
+                have = self.key(self.tokens, self.run, suffix[undecided], level) >> cut
+                less[undecided[have < want]] = True
+                undecided = undecided[have == want]
                 if not undecided.size:
                     break
             if right:
@@ -159,12 +166,13 @@ class SuffixArray:
             return best, where
         insert, _ = self.bounds(tokens, at, np.full(len(at), deepest))
         tokens = np.concatenate([tokens, np.zeros(deepest + 1, np.int32)])
+        held = np.concatenate([self.tokens, np.zeros(deepest + 1, np.int32)])
         for side in (-1, 0):
             near = self.order[np.clip(insert + side, 0, len(self.order) - 1)]
             same, alive = np.zeros(len(at), np.int64), np.arange(len(at))
             for k in range(deepest):
                 here = tokens[at[alive] + k]
-                alive = alive[(here != 0) & (here == self.tokens[near[alive] + k])]
+                alive = alive[(here != 0) & (here == held[near[alive] + k])]
                 if not alive.size:
                     break
                 same[alive] += 1
@@ -175,7 +183,7 @@ class SuffixArray:
 class Shard:
     """The documents of one batch as numbers of benchmark words, with their suffix array."""
 
-    def __init__(self, texts: list[bytes], block: TestBlock) -> None:
+    def __init__(self, texts: list[bytes], block: TestBlock, depth: int) -> None:
         get, parts, sizes = block.vocabulary.get, [], []
         for text in texts:
             own = words(text)
@@ -185,7 +193,7 @@ class Shard:
         self.block, self.sizes = block, sizes
         self.starts = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64) + 1)])
         shortest = int(block.lengths.min()) if len(block.lengths) else 1
-        self.array = SuffixArray(np.concatenate(parts), len(block.vocabulary) + 1, shortest, max(block.deepest, 1))
+        self.array = SuffixArray(np.concatenate(parts), len(block.vocabulary) + 1, shortest, max(depth, 1))
 
     def place(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Document number and word of each position."""
@@ -240,7 +248,7 @@ def _search_block(docs: DataFrame, text: str, block: TestBlock, carry: list[str]
         def work(columns: dict[str, pa.Array], texts: list[bytes]) -> list[pa.Array]:
             rows = [
                 {"n_words": n, "hit_spans": [{"start": int(a), "end": int(b)} for a, b in spans], "items": sorted({block.items[i] for i in items})}
-                for n, spans, items in Shard(texts, block).windows()
+                for n, spans, items in Shard(texts, block, block.longest_window).windows()
             ]
             return [pa.array(rows, to_arrow_type(FOUND))]
 
@@ -290,7 +298,7 @@ def longest_matches(
             first_of_item = np.searchsorted(block.item_of, np.arange(len(block.items)))
             for batch in batches:
                 if batch.num_rows:
-                    suffix, n, doc, word = Shard(byte_texts(batch.column(1)), block).longest()
+                    suffix, n, doc, word = Shard(byte_texts(batch.column(1)), block, block.deepest).longest()
                     item = block.item_of[suffix]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([block.items[i] for i in item], pa.string()), pa.array(suffix - first_of_item[item]), pa.array(n), batch.column(0).take(pa.array(doc)), pa.array(word)],
