@@ -7,10 +7,12 @@ equals the union of single-day runs, for one scan instead of many.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from featuremill.functions.dates import (
     BUSINESS_TZ, between_instants, business_date, day, day_start, utc_midnight,
@@ -22,6 +24,7 @@ from featuremill.operators.attribution import last_before
 from featuremill.operators.relevance import field_scores
 from featuremill.operators.rows import first_row, top_list
 from featuremill.operators.skew import lookup_where
+from featuremill.operators.state_table import StateTable
 
 # Fixed values of the event model.
 IMPRESSION, VIEW, CART, FAVOURITE = "PRODUCT_IMPRESSION", "PRODUCT_VIEW", "ADD_TO_CART", "ADD_TO_FAVORITES"
@@ -348,6 +351,13 @@ def ranking_scores(
     )
 
 
+SCORE_KEY = ("query", "sku_group_id")
+SCORE_STATE = T.StructType([
+    T.StructField("query", T.StringType()), T.StructField("sku_group_id", T.LongType()), T.StructField("dssm_score", T.DoubleType()),
+    T.StructField("collected_at", T.TimestampNTZType()), T.StructField("date", T.DateType()),
+])
+
+
 def score_change_log(
     ranking_events: DataFrame,
     logged: DataFrame,
@@ -355,18 +365,25 @@ def score_change_log(
     collected_at: datetime,
     threshold: float = 0.05,
 ) -> DataFrame:
-    """Rows to append for day ``on``: new pairs, and pairs whose score moved by the threshold or more."""
+    """Rows to append for day ``on``: new pairs, and pairs whose score moved by the threshold or more.
+
+    Looks for the newest score of each pair in the whole log; :func:`score_changes` takes them from a state table.
+    """
+    current = first_row(logged, [*SCORE_KEY], [F.col("collected_at").desc(), F.col("date").desc()])
+    return score_changes(ranking_events, current, on, collected_at, threshold)
+
+
+def score_changes(ranking_events: DataFrame, state: DataFrame, on: date, collected_at: datetime, threshold: float = 0.05) -> DataFrame:
+    """As :func:`score_change_log`, from ``state``, which has the newest score of each pair once."""
     scores = ranking_scores(ranking_events, day_start(on), day_start(on + timedelta(days=1)))
-    today = first_row(scores, ["query", "sku_group_id"], [F.col("fired_at").desc(), F.col("score").desc()])
-    current = first_row(
-        logged, ["query", "sku_group_id"], [F.col("collected_at").desc(), F.col("date").desc()]
-    ).select("query", "sku_group_id", F.col("dssm_score").alias("old"))
+    today = first_row(scores, [*SCORE_KEY], [F.col("fired_at").desc(), F.col("score").desc()])
+    current = state.select(*SCORE_KEY, F.col("dssm_score").alias("old"))
     old, new = F.col("old"), F.col("score")
     moved = old.isNull() | F.when(old == 0, F.abs(new) > 0).otherwise(
         ratio(F.abs(new - old), F.abs(old)) >= threshold
     )
     return (
-        today.join(current, ["query", "sku_group_id"], "left")
+        today.join(current, [*SCORE_KEY], "left")
         .where(moved)
         .select(
             day(on).alias("date"), "query", "sku_group_id",
@@ -376,6 +393,19 @@ def score_change_log(
     )
 
 
+def run_score_log(
+    ranking_events: DataFrame, state: StateTable, on: date, collected_at: datetime, stage: Callable[[DataFrame], DataFrame], threshold: float = 0.05
+) -> DataFrame:
+    """One day of the log through the state: the rows to append; afterwards the state is that of the day.
+
+    The rows are staged first, so the log and the state are made of the same ones. Running the day again gives both again.
+    """
+    before = state.before(ranking_events.sparkSession, on)
+    changes = stage(score_changes(ranking_events, before, on, collected_at, threshold))
+    state.write(on, state.merged(before, changes))
+    return changes
+
+
 def query_candidate_pairs(
     events: DataFrame, search_logs: DataFrame, on: date, min_installs: int = 2
 ) -> DataFrame:

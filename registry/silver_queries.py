@@ -6,9 +6,11 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
+from featuremill.operators.state_table import StateTable
 from featuremill.plans import item_silver as items
 from featuremill.plans import search_silver as search
 from featuremill.sources.star_views import ANCHOR, StarViews
+from registry.workspace import fresh_dir
 
 D = ANCHOR
 CLICK_DAYS = (date(2024, 1, 1), date(2024, 2, 1))
@@ -75,6 +77,16 @@ def score_log(v: StarViews):
     return search.score_change_log(v.ranking_events, first, SCORE_DAY_2, datetime(2024, 1, 17, 2))
 
 
+def score_log_by_state(v: StarViews):
+    """The second day's rows, from the state that the first day left."""
+    folder = fresh_dir(v.spark, "score-state")
+    buckets = int(v.spark.conf.get("spark.sql.shuffle.partitions"))
+    state = StateTable(f"score_state_{folder[-32:]}", folder, search.SCORE_STATE, search.SCORE_KEY, buckets)
+    for on in (SCORE_DAY_1, SCORE_DAY_2):
+        made = search.run_score_log(v.ranking_events, state, on, datetime(2024, 1, on.day + 1, 2), v.stage)
+    return made
+
+
 def item_texts(v: StarViews):
     """One row per item group with text fields and factors."""
     return v.sku.groupBy("sku_group_id").agg(
@@ -382,6 +394,7 @@ SILVER = {
     "t08_query_item_daily_conversions": (conversions, CONVERSIONS_SQL),
     "t09_query_item_orders": (query_orders, QUERY_ORDERS_SQL),
     "t10_score_change_log": (score_log, SCORE_LOG_SQL),
+    "t10b_score_log_by_state": (score_log_by_state, SCORE_LOG_SQL),
     "t11_query_candidates": (candidates, CANDIDATES_SQL),
     "t12_account_lifetime_facts": (lifetime, LIFETIME_SQL),
     "t13_daily_discounts": (discounts, DISCOUNTS_SQL),
