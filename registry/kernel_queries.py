@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -17,7 +17,7 @@ from featuremill.plans import item_gold as gold
 from featuremill.plans import item_silver as items
 from featuremill.plans import search_gold as search
 from featuremill.plans import search_silver
-from featuremill.sources import scan, schema, sink
+from featuremill.sources import scan, schema, sink, versions
 from registry import account_sql
 from registry import gold_queries as g
 from registry import silver_queries as silver
@@ -82,6 +82,19 @@ def k11(v):
     return v.spark.read.parquet(path).groupBy("date").agg(_n(), F.sum("total_stock").alias("total"))
 
 
+def k11b(v):
+    """As k11, published by manifest: all days, then the newest once more."""
+    path, stock = fresh_dir(v.spark, "k11b"), silver.stock(v)
+    lo, hi = stock.agg(F.min("date"), F.max("date")).first()
+    filled = v.stage(stock)
+    days = sorted(r[0] for r in filled.select("date").distinct().collect())
+    for on in days if (hi - lo).days + 1 != len(days) else [None]:
+        versions.publish_version(filled if on is None else scan.partition(filled, on), path, on or lo, None if on else hi + timedelta(days=1))
+    one = scan.partition(versions.read_version(v.spark, path, filled.schema), D).withColumn("total_stock", F.col("total_stock") + 1)
+    versions.publish_version(one, path, D)
+    return versions.read_version(v.spark, path, filled.schema).groupBy("date").agg(_n(), F.sum("total_stock").alias("total"))
+
+
 def k12(v):
     path = fresh_dir(v.spark, "k12")
     keys = ("calculated_at", "promotion_id")
@@ -185,6 +198,9 @@ SCANS = {
     "k11_overwrite_partitions": (
         k11, f"SELECT date, count(*) AS n, CAST(sum(total_stock + CASE WHEN date = {DS} THEN 1 ELSE 0 END) AS BIGINT) AS total FROM o_stock GROUP BY 1",
     ),
+    "k11b_manifest_publication": (
+        k11b, f"SELECT date, count(*) AS n, CAST(sum(total_stock + CASE WHEN date = {DS} THEN 1 ELSE 0 END) AS BIGINT) AS total FROM o_stock GROUP BY 1",
+    ),
     "k12_predicate_overwrite": (
         k12,
         "SELECT promotion_id, count(*) AS n, count(*) FILTER (WHERE discount > 0 AND promotion_id <> 'dyno_pricing_1') AS discounted FROM o_disc_prices GROUP BY 1",
