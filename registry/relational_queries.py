@@ -465,6 +465,35 @@ def r05(v):
     return names.select("title", text.canonical_query_key(F.col("title"), ["blue"]).alias("key"))
 
 
+#: A stop list as it is kept: comments, blank lines, phrases.
+STOP_LIST = """# colours
+red
+blue
+
+small red
+  SMALL
+"""
+SUFFIXES = ("ets", "et", "ed", "e")
+SYNONYMS = (("wid", "gadg"), ("larg", "big"))
+
+
+def r05b(v):
+    """Title keys with a stop list read from a text, stems and synonyms."""
+    path = fresh_dir(v.spark, "stop-list")
+    v.spark.createDataFrame([(line,) for line in STOP_LIST.split("\n")], "value string").coalesce(1).write.text(path)
+    stop = text.read_stop_list(v.spark, path)
+    key = text.canonical_query_key(F.col("title"), stop, SUFFIXES, text.synonym_groups(SYNONYMS))
+    return v.sku.select("title").distinct().select("title", key.alias("key"))
+
+
+R05B_SQL = """SELECT title, nullif(array_to_string(list_sort(list_transform(string_split(clean, ' '), lambda t: CASE s(t) END)), ' '), '') AS key FROM (
+  SELECT title, trim(regexp_replace(regexp_replace(lower(title), '\\b(small red|small|blue|red)\\b', ' ', 'g'), '\\s+', ' ', 'g')) AS clean
+  FROM (SELECT DISTINCT title FROM v_sku) x) y""".replace(
+    "CASE s(t) END",
+    "coalesce(map {'wid': 'gadg', 'gadg': 'gadg', 'larg': 'big', 'big': 'big'}[regexp_replace(t, '^(.{3,}?)(ets|et|ed|e)$', '\\1')], regexp_replace(t, '^(.{3,}?)(ets|et|ed|e)$', '\\1'))",
+)
+
+
 def r06(v):
     scores = field_scores(silver.item_texts(v), silver.candidate_pairs(v), "sku_group_id", ["title"])
     return scores.select("query", "sku_group_id", "term", F.round("score", 6).alias("score"))
@@ -497,6 +526,7 @@ RE_AIMED = {
         f"""SELECT id, round(2 * {dbl(hexgrid.EARTH_M)} * asin(least(sqrt(pow(sin((radians({dbl(0.01)}) - radians(la)) / 2), 2) + cos(radians(la)) * cos(radians({dbl(0.01)}))
   * pow(sin((radians({dbl(0.02)}) - radians(lo)) / 2), 2)), 1)), 3) AS metres FROM (SELECT id, {LAT('r')} AS la, {LON('q', 'r')} AS lo FROM v_points) x""",
     ),
+    "r05b_canonical_forms": (r05b, R05B_SQL),
     "r05_canonical_titles": (
         r05,
         """SELECT title, CASE WHEN clean = '' THEN NULL ELSE array_to_string(list_sort(string_split(clean, ' ')), ' ') END AS key FROM (
