@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import functions as F
 
 from featuremill.functions import hexgrid, ratios, text
-from featuremill.operators import canonical, outcomes, rows
+from featuremill.operators import canonical, distinct_days, outcomes, rows
 from featuremill.operators.relevance import field_scores
 from featuremill.operators.rings import ring_sums, scatter
 from featuremill.plans import geo
@@ -293,6 +293,17 @@ def a11(v):
     return per.groupBy("delivery_point_id").agg(_n(), F.sum("c").alias("completed"))
 
 
+def a11b(v):
+    """Distinct orders of 14 days from daily bitmaps; the dictionary is extended once on the way."""
+    items = v.order_items.select(F.to_date("generated_at").alias("date"), "delivery_point_id", F.col("order_id").alias("id"))
+    start, half, end = (D - timedelta(days=n) for n in (13, 6, -1))
+    none = v.spark.createDataFrame([], "id bigint, number bigint")
+    first = v.stage(distinct_days.new_numbers(items.where(F.col("date") < F.lit(half)), none))
+    numbers = v.stage(first.unionByName(distinct_days.new_numbers(items, first)))
+    daily = v.stage(distinct_days.daily_bitmaps(items, numbers, ["delivery_point_id"]))
+    return distinct_days.distinct_over(daily, ["delivery_point_id"], start, end)
+
+
 def a12(v):
     age = F.datediff(F.lit(D), "day")
     per = v.hex_activity.groupBy("h3_index").agg(*[F.coalesce(F.sum(F.when(age < w, F.col("daily_views"))), F.lit(0)).alias(f"v{w}") for w in (10, 20)])
@@ -379,6 +390,9 @@ AGGREGATES = {
     "a11_exact_unique": (
         a11, "SELECT delivery_point_id, count(DISTINCT order_id) AS n, count(DISTINCT CASE WHEN order_item_status = 'COMPLETED' THEN order_id END) AS completed FROM v_order_items GROUP BY 1",
     ),
+    "a11b_distinct_by_bitmaps": (
+        a11b, f"SELECT delivery_point_id, count(DISTINCT order_id) AS n FROM v_order_items WHERE CAST(generated_at AS DATE) BETWEEN {DS} - 13 AND {DS} GROUP BY 1",
+    ),
     "a12_ring_window_grid": (
         a12,
         f"SELECT {cell('q + dq', 'r + dr')} AS h3_index, "
