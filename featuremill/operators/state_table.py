@@ -9,6 +9,7 @@ and must not be below ``spark.sql.shuffle.partitions``, or Spark shuffles both s
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
 
@@ -47,6 +48,17 @@ class StateTable:
         earlier = [v for v in self.versions(spark) if v < on]
         return spark.table(self._table(earlier[-1])) if earlier else spark.createDataFrame([], self.schema)
 
+    def version(self, spark: SparkSession, on: date) -> DataFrame:
+        """The state of the day itself; a day without a version is an error."""
+        if on not in self.versions(spark):
+            raise ValueError(f"{self.name} has no version of {on}")
+        return spark.table(self._table(on))
+
+    def drop(self, spark: SparkSession, days: Iterable[date]) -> None:
+        """Take versions out of the catalog; their files stay, as those of old versions do."""
+        for on in days:
+            spark.sql(f"DROP TABLE IF EXISTS {self._table(on)}")
+
     def merged(self, state: DataFrame, rows: DataFrame) -> DataFrame:
         """The state with the rows in place of those of the same keys; ``rows`` has one row for each key."""
         columns = [f.name for f in self.schema]
@@ -63,8 +75,7 @@ class StateTable:
             frame.write.mode("overwrite").format("parquet").option("path", f"{self.folder}/{table}")
             .bucketBy(self.buckets, *self.key).sortBy(*self.key).saveAsTable(table)
         )
-        for old in self.versions(spark)[: -self.keep]:
-            # The files of dropped versions stay for whoever reads them; removing them is up to the keeper of the folder.
-            spark.sql(f"DROP TABLE IF EXISTS {self._table(old)}")
+        # The files of dropped versions stay for whoever reads them; removing them is up to the keeper of the folder.
+        self.drop(spark, self.versions(spark)[: -self.keep])
         return spark.table(table)
 

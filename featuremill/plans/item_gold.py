@@ -6,7 +6,7 @@ import re
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremill.functions.dates import (
@@ -14,6 +14,7 @@ from featuremill.functions.dates import (
 )
 from featuremill.functions.ratios import prior_mean_smoothed, ratio, ratio_if_positive, ratio_or_zero, shrunk_rate, stable_mean
 from featuremill.operators.rows import first_row, with_group_totals
+from featuremill.operators.running_sums import RunningSums
 from featuremill.operators.staging import Stage, no_stage
 from featuremill.plans.item_silver import FAIR_RETURN_CAUSES, PROMOTION_PREFIX, latest_discount_order
 from featuremill.plans.search_gold import WINDOWS
@@ -21,6 +22,8 @@ from featuremill.sources.scan import live_and_history, partition, trailing
 
 # The mean and weight of the ad revenue prior; the pull of a parent buy-out rate.
 AD_PRIOR_MEAN, AD_PRIOR_IMPRESSIONS = 19.9, 50.0
+AD_WINDOWS = (7, 14, 30)
+AD_SUMS = {"ad_impressions": "imp_{w}", "ad_revenue": "rev_{w}"}
 SHRINKAGE_K = 30
 DEFAULT_PROMOTION = "0"
 # Classes of the price index.
@@ -230,6 +233,21 @@ def stock_features(stock: DataFrame, sku: DataFrame, as_of: date) -> DataFrame:
         .groupBy(F.col("sku_id").cast("bigint").alias("sku_id"))
         .agg(*trailing_sums({"total_stock": "s_{w}"}, WINDOWS, as_of, Bound.HALF_OPEN))
     )
+    return _stock_by_group(per_sku, sku, as_of)
+
+
+def stock_totals(name: str, folder: str, buckets: int = 200) -> RunningSums:
+    """Running totals of ``sku_stock_daily`` for ``stock_features_from_totals``."""
+    return RunningSums(name, folder, {"sku_id": "bigint"}, {"total_stock": "bigint"}, max(WINDOWS), buckets)
+
+
+def stock_features_from_totals(totals: RunningSums, sku: DataFrame, as_of: date) -> DataFrame:
+    """As ``stock_features``, from the versions at the edges of the windows."""
+    per_sku = totals.windows(sku.sparkSession, as_of, WINDOWS, Bound.HALF_OPEN, {"total_stock": "s_{w}"})
+    return _stock_by_group(per_sku, sku, as_of)
+
+
+def _stock_by_group(per_sku: DataFrame, sku: DataFrame, as_of: date) -> DataFrame:
     groups = (
         sku.where("sku_group_id is not null")
         .groupBy(F.col("id").cast("bigint").alias("sku_id"))
@@ -245,20 +263,39 @@ def stock_features(stock: DataFrame, sku: DataFrame, as_of: date) -> DataFrame:
 
 def ad_revenue_features(daily: DataFrame, as_of: date) -> DataFrame:
     """Ad revenue per impression, plain and pulled to the overall mean."""
-    windows = (7, 14, 30)
     sums = (
-        trailing(daily, as_of, max(windows), Bound.HALF_OPEN)
+        trailing(daily, as_of, max(AD_WINDOWS), Bound.HALF_OPEN)
         .where("sku_group_id is not null")
         .groupBy(F.col("sku_group_id").cast("bigint").alias("sku_group_id"))
-        .agg(*trailing_sums({"ad_impressions": "imp_{w}", "ad_revenue": "rev_{w}"}, windows, as_of, Bound.HALF_OPEN))
+        .agg(*trailing_sums(AD_SUMS, AD_WINDOWS, as_of, Bound.HALF_OPEN))
     )
+    return _ad_rates(sums, as_of)
+
+
+def ad_totals(name: str, folder: str, buckets: int = 200) -> RunningSums:
+    """Running totals of ``ad_revenue_daily`` for ``ad_revenue_features_from_totals``; revenue is kept to ten decimals."""
+    measures = {"ad_impressions": "bigint", "ad_revenue": "decimal(38,10)"}
+    return RunningSums(name, folder, {"sku_group_id": "bigint"}, measures, max(AD_WINDOWS), buckets)
+
+
+def exact_revenue(daily: DataFrame) -> DataFrame:
+    """Daily ad revenue as a decimal, as its running totals want it."""
+    return daily.withColumn("ad_revenue", F.col("ad_revenue").cast("decimal(28,10)"))
+
+
+def ad_revenue_features_from_totals(totals: RunningSums, spark: SparkSession, as_of: date) -> DataFrame:
+    """As ``ad_revenue_features``, from the versions at the edges of the windows."""
+    return _ad_rates(totals.windows(spark, as_of, AD_WINDOWS, Bound.HALF_OPEN, AD_SUMS), as_of)
+
+
+def _ad_rates(sums: DataFrame, as_of: date) -> DataFrame:
     return sums.select(
         day(as_of).alias("date"), "sku_group_id",
         *[
             prior_mean_smoothed(f"rev_{w}", f"imp_{w}", AD_PRIOR_MEAN, AD_PRIOR_IMPRESSIONS).alias(f"smooth_adrev_per_imp_{w}")
-            for w in windows
+            for w in AD_WINDOWS
         ],
-        *[ratio(f"rev_{w}", f"imp_{w}").alias(f"adrev_per_imp_{w}") for w in windows],
+        *[ratio(f"rev_{w}", f"imp_{w}").alias(f"adrev_per_imp_{w}") for w in AD_WINDOWS],
     )
 
 

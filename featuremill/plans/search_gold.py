@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremill.functions.dates import Bound, day, trailing_sums
@@ -18,10 +18,13 @@ from featuremill.functions.ratios import beta_smoothed, parent_smoothed, ratio,
 from featuremill.functions.text import canonical_query_key, has_text, normalise_query
 from featuremill.operators.canonical import attach_group_key, fan_out, query_key_map
 from featuremill.operators.rows import first_row, with_group_totals
+from featuremill.operators.running_sums import RunningSums
 from featuremill.operators.staging import Stage, no_stage
 from featuremill.sources.scan import partition, trailing
 
 WINDOWS = (1, 3, 7, 14, 21, 30, 60, 90)
+SHORT_WINDOWS = (1, 3, 7, 14, 21, 30)
+ITEM_SUMS = {"sum_impressions": "imp_{w}", "orders_generated": "ord_{w}", "sum_atc": "atc_{w}", "returned_orders": "ret_{w}"}
 # The prior of the impression-to-order rate, and the pull of the parent rate.
 PRIOR_ALPHA, PRIOR_BETA = 0.003384, 1.402240
 PARENT_STRENGTH = 100.0
@@ -55,13 +58,7 @@ def _item_windows(
         funnel.where("sku_group_id is not null"), orders.where("sku_group_id is not null"),
         as_of, max(windows), Bound.HALF_OPEN, {"sku_group_id": (item, item)},
     )
-    sums = trailing_sums(
-        {
-            "sum_impressions": "imp_{w}", "orders_generated": "ord_{w}",
-            "sum_atc": "atc_{w}", "returned_orders": "ret_{w}",
-        },
-        windows, as_of, Bound.HALF_OPEN,
-    )
+    sums = trailing_sums(ITEM_SUMS, windows, as_of, Bound.HALF_OPEN)
     return rows.groupBy("sku_group_id").agg(*sums, *extra)
 
 
@@ -79,7 +76,28 @@ def _conversion_trends() -> list[Column]:
 
 def search_conversion_v1(funnel: DataFrame, orders: DataFrame, as_of: date) -> DataFrame:
     """Impression-to-order rates of search, plain, smoothed and as trends."""
-    windows = _item_windows(funnel, orders, as_of, (1, 3, 7, 14, 21, 30), [])
+    return _conversions(_item_windows(funnel, orders, as_of, SHORT_WINDOWS, []), as_of)
+
+
+def item_search_daily(funnel: DataFrame, orders: DataFrame, start: date, end: date) -> DataFrame:
+    """Search impressions, carts, orders and returns per item and day of [start, end)."""
+    item = F.col("sku_group_id").cast("bigint")
+    days = (end - start).days
+    rows = _stack(funnel, orders, end, days, Bound.HALF_OPEN, {"sku_group_id": (item, item)}).where("sku_group_id is not null")
+    return rows.groupBy("date", "sku_group_id").agg(*[F.sum(m).cast("bigint").alias(m) for m in ITEM_SUMS])
+
+
+def search_totals(name: str, folder: str, buckets: int = 200) -> RunningSums:
+    """Running totals of ``item_search_daily`` for ``search_conversion_v1_from_totals``."""
+    return RunningSums(name, folder, {"sku_group_id": "bigint"}, dict.fromkeys(ITEM_SUMS, "bigint"), max(SHORT_WINDOWS), buckets)
+
+
+def search_conversion_v1_from_totals(totals: RunningSums, spark: SparkSession, as_of: date) -> DataFrame:
+    """As ``search_conversion_v1``, from the versions at the edges of the windows."""
+    return _conversions(totals.windows(spark, as_of, SHORT_WINDOWS, Bound.HALF_OPEN, ITEM_SUMS), as_of)
+
+
+def _conversions(windows: DataFrame, as_of: date) -> DataFrame:
     return windows.select(
         day(as_of).alias("date"), "sku_group_id", *_smoothed_conversions(), *_conversion_trends()
     )
