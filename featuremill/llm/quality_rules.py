@@ -203,6 +203,7 @@ def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows that are kept, with their own columns; texts are read once to learn and once to filter."""
-    model = learn(with_features(docs.select(text_col), text_col))
-    return judged(with_features(docs, text_col), model).filter(F.col("_verdict.kept")).select(*docs.columns)
+    """The rows that are kept, with their own columns; texts are read once, rows and counts staged to learn and to filter."""
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("_text"))
+    featured = staged(with_features(rows, "_text").select("_row", "_quality"), "quality")
+    return judged(featured, learn(featured)).filter(F.col("_verdict.kept")).select("_row.*")
