@@ -14,14 +14,15 @@ from featuremill.quality.config import DqSettings
 from featuremill.quality.rules import Rule, Table
 
 
-def passes(df: DataFrame, settings: DqSettings, table: Table) -> list[tuple[list[int], DataFrame]]:
+def passes(df: DataFrame, settings: DqSettings, table: Table, dates: DataFrame | None = None) -> list[tuple[list[int], DataFrame]]:
     """(numbers of the tests, frame (test, failed_rows, observed)) for each pass over the table.
 
-    Aggregate tests share a pass over the rows they look at: the day and the one before, the dates alone, or everything.
+    Aggregate tests share a pass over the rows they look at: the day and the one before, the dates alone, or everything. Where
+    the days of the table are known (``dates``, say from ``scan.partition_days``), the tests on dates read them and no row.
     """
     sources = {
         "days": lambda: df.where((table.day >= day(table.on - timedelta(days=1))) & (table.day <= day(table.on))),
-        "dates": lambda: df.select(settings.partition_column),
+        "dates": lambda: (df if dates is None else dates).select(settings.partition_column),
         "rows": lambda: df,
     }
     shared: dict[str, list[tuple[int, Rule]]] = {name: [] for name in sources}
@@ -44,9 +45,11 @@ def _aggregated(df: DataFrame, tests: list[tuple[int, Rule]], table: Table) -> D
     return df.agg(*rows).select(F.inline(F.array(*[f"t{i}" for i, _ in tests])))
 
 
-def check_frame(df: DataFrame, settings: DqSettings, on: date, references: Mapping[str, DataFrame] | None = None) -> DataFrame:
+def check_frame(
+    df: DataFrame, settings: DqSettings, on: date, references: Mapping[str, DataFrame] | None = None, dates: DataFrame | None = None
+) -> DataFrame:
     """(test_key, failed_rows, observed) for all tests of a table, in one plan; the key is a label and may repeat."""
-    every = reduce(DataFrame.unionByName, [frame for _, frame in passes(df, settings, settings.table(on, references))])
+    every = reduce(DataFrame.unionByName, [frame for _, frame in passes(df, settings, settings.table(on, references), dates)])
     labels = F.array(*[F.lit(rule.key) for rule in settings.tests])
     return every.select(F.get(labels, F.col("test")).alias("test_key"), "failed_rows", "observed")
 

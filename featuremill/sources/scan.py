@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremill.functions.dates import Bound, between_instants, day, day_start, in_window, ts
+from featuremill.sources.sink import _file
 
 
 def partition(df: DataFrame, on: date, date_col: str = "date") -> DataFrame:
@@ -57,6 +58,20 @@ def existing_parquet(spark: SparkSession, path: str) -> DataFrame:
         raise
 
 
+def partition_days(spark: SparkSession, path: str, column: str = "date") -> DataFrame:
+    """The days of a table partitioned by ``column`` first, one row each, from the names of its folders; no data file is opened.
+
+    Folders without a visible file or folder in them do not count, nor do hidden ones and those of NULL; a table that is not
+    there has no days. The name of a folder that counts must be a day. The folders are listed on the driver, one entry for each day.
+    """
+    root, files = _file(spark, path)
+    shown = lambda folder: [x for x in files.listStatus(folder) if not x.getPath().getName().startswith(("_", "."))]
+    listed = [x.getPath() for x in shown(root) if x.isDirectory()] if files.exists(root) else []
+    values = {x: x.getName().removeprefix(f"{column}=") for x in listed if x.getName().startswith(f"{column}=")}
+    days = [date.fromisoformat(v) for folder, v in values.items() if v != "__HIVE_DEFAULT_PARTITION__" and shown(folder)]
+    return spark.createDataFrame([(d,) for d in sorted(days)], f"`{column}` date")
+
+
 def latest_snapshot(df: DataFrame, snapshot_col: str, up_to: date | None = None) -> DataFrame:
     """Rows of the newest snapshot, at or before ``up_to`` when given.
 

@@ -16,6 +16,7 @@ from featuremill.plans import item_silver as items
 from featuremill.quality.checks import check_frame
 from featuremill.quality.config import DqSettings, load_settings, make_spec
 from featuremill.quality.runner import result_rows, run_checks, save_results
+from featuremill.sources.scan import partition_days
 from featuremill.sources.star_views import StarViews
 from registry import gold_queries as g
 from registry import silver_queries as silver
@@ -675,6 +676,22 @@ def d20(v):
     return v.spark.read.parquet(path).groupBy("dag_id").agg(_n(), F.count_if(F.col("status") == "passed").alias("passed"))
 
 
+def d05b(v):
+    """Freshness and known days of a stored table, from its folders."""
+    path = fresh_dir(v.spark, "dated")
+    v.table("events").select("event_id", F.to_date("ts").alias("date")).repartition("date").write.partitionBy("date").parquet(path)
+    days = partition_days(v.spark, path)
+    settings = DqSettings(("event_id",), (make_spec({"name": "freshness"}),))
+    checked = check_frame(v.spark.read.parquet(path), settings, D, dates=days)
+    span = days.agg(F.struct(F.count("date").alias("n_days"), F.min("date").alias("first_day")).alias("span"))
+    return checked.withColumn("span", span.scalar()).select("test_key", "failed_rows", "observed", "span.*")
+
+
+QUALITY["d05b_freshness_by_listing"] = (
+    d05b,
+    f"""SELECT 'freshness' AS test_key, CAST(CASE WHEN lag > 2 THEN 1 ELSE 0 END AS BIGINT) AS failed_rows, CAST(lag AS DOUBLE) AS observed, n_days, first_day
+FROM (SELECT date_diff('day', max(d), {DS}) AS lag, count(DISTINCT d) AS n_days, min(d) AS first_day FROM (SELECT CAST(ts AS DATE) AS d FROM events) e) x""",
+)
 QUALITY["d19_runner"] = (d19, D19_SQL)
 QUALITY["d20_result_history"] = (
     d20, f"SELECT dag_id, count(*) AS n, count(*) FILTER (WHERE status = 'passed') AS passed FROM ({D19_SQL}) q CROSS JOIN (VALUES ('nightly'), ('weekly')) j(dag_id) GROUP BY 1",

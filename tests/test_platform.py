@@ -172,6 +172,38 @@ def test_aggregate_tests_share_scans_and_prune(spark, tmp_path):
     assert any("2024-01-01" in s and "x:double" in s for s in scans) and any("ReadSchema: struct<>" in s for s in scans)
 
 
+def test_days_from_folders(spark, tmp_path):
+    path = str(tmp_path / "dated")
+    rows = [(D, 1, 1.0), (D, 2, 1.0), (date(2023, 12, 30), 3, 1.0), (None, 4, 1.0)]
+    sink.overwrite_partitions(frame(spark, rows), path)
+    for empty in ("date=2024-02-01", "_staging", "date=2024-03-01/_temporary", "other=1"):
+        (tmp_path / "dated" / empty).mkdir(parents=True)
+    days = scan.partition_days(spark, path)
+    assert [r.date for r in days.collect()] == [date(2023, 12, 30), D]
+    assert scan.partition_days(spark, str(tmp_path / "nothing")).collect() == []
+    (tmp_path / "dated" / "date=soon" / "id=1").mkdir(parents=True)
+    with pytest.raises(ValueError, match="soon"):
+        scan.partition_days(spark, path)
+
+
+def test_tests_on_dates_read_no_rows(spark, tmp_path):
+    path = str(tmp_path / "dated")
+    sink.overwrite_partitions(frame(spark, [(date(2024, 1, n), n, 1.0) for n in (1, 2, 5)]), path)
+    df, days = spark.read.parquet(path), scan.partition_days(spark, path)
+    settings = DqSettings(("id",), (make_spec({"name": "freshness"}),), warmup_days=2)
+    for on in (D, date(2024, 1, 5), date(2024, 1, 9)):
+        by_rows, by_days = (check_frame(df, settings, on, dates=x) for x in (None, days))
+        assert by_rows.collect() == by_days.collect()
+        assert "Scan parquet" in plan_of(by_rows) and "Scan parquet" not in plan_of(by_days)
+        with_days, without = run_checks(df, settings, on, dates=days), run_checks(df, settings, on)
+        assert with_days.warmup_active == without.warmup_active
+        assert [(r.status, r.severity, r.observed) for r in with_days.results] == [(r.status, r.severity, r.observed) for r in without.results]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString().replace("FileScan parquet", "Scan parquet")
+
+
 def test_runner_status(spark):
     settings = load_settings(("date", "id"), {"warmup_days": 1, "tests": [
         {"name": "non_negative", "columns": ["x"], "severity": "warn"}, {"name": "accepted_range", "column": "x", "max": 0}]})
