@@ -50,3 +50,22 @@ def test_nothing_new(spark):
     assert dd.new_numbers(spark.createDataFrame([("b",), (None,)], "id string"), known).collect() == []
     assert [tuple(r) for r in dd.new_numbers(spark.createDataFrame([("c",), ("c",)], "id string"), known).collect()] == [("c", 2)]
     assert dd.distinct_over(spark.createDataFrame([], "date date, k string, bucket bigint, bits binary"), ["k"], START, START).collect() == []
+
+
+def test_a_few_ids_take_little_room(spark):
+    """Ids far apart make a bitmap each: it must not be much larger than the id."""
+    ids = [(START, "a", f"u{n}", n * 40_000) for n in range(50)] + [(START, "b", "u0", 0), (START, "b", "last", 63), (START, "b", "next", 64)]
+    df = spark.createDataFrame([r[:3] for r in ids], "date date, k string, id string")
+    numbers = spark.createDataFrame(list({r[2]: r[2:] for r in ids}.values()), "id string, number bigint")
+    daily = dd.daily_bitmaps(df, numbers, ["k"])
+    room = [len(r.bits) if isinstance(r.bits, bytearray) else 8 for r in daily.collect()]
+    assert len(room) == 52 and sum(room) <= 1000
+    made = {r.k: r.n for r in dd.distinct_over(daily, ["k"], START, START + timedelta(days=1)).collect()}
+    assert made == {"a": 50, "b": 3}
+
+
+def test_older_bitmaps_can_be_counted(spark):
+    one = bytearray(4096)
+    one[0] = 5
+    daily = spark.createDataFrame([(START, "a", 1, one), (START, "a", 2, one)], "date date, k string, bucket bigint, bits binary")
+    assert [tuple(r) for r in dd.distinct_over(daily, ["k"], START, START + timedelta(days=1)).collect()] == [("a", 4)]
