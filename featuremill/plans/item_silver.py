@@ -114,9 +114,14 @@ def item_orders(order_items: DataFrame, sku: DataFrame, start: date, end: date)
 
 
 def query_item_orders(
-    order_items: DataFrame, sku: DataFrame, attribution: DataFrame, start: date, end: date
+    order_items: DataFrame, sku: DataFrame, attribution: DataFrame, start: date, end: date, tasks: int | None = None
 ) -> DataFrame:
-    """As :func:`item_orders`, per search query the order items are attributed to."""
+    """As :func:`item_orders`, per search query the order items are attributed to.
+
+    The join by item and the two aggregations after it are one stage, whose tasks hold
+    their rows several times over; give the number of ``tasks`` that keeps these rows few
+    (see ``operators/staging.tasks_for``). Otherwise the session's partitions decide.
+    """
     groups = sku.select(F.col("id").alias("sku_id"), F.col("sku_group_id").cast("bigint").alias("sku_group_id"))
     days = _item_days(order_items, start, end, until_midnight=True).select(
         "order_item_id", "sku_id", "date", "role",
@@ -128,6 +133,8 @@ def query_item_orders(
             F.col("generated_at"), day_start(start) - timedelta(days=LOOKBACK_DAYS), day_start(end)
         )
     ).select("order_item_id", "query", F.col("generated_at").alias("credited_at"))
+    if tasks:
+        days, credited = (side.repartition(tasks, "order_item_id") for side in (days, credited))
     per_item = (
         days.join(credited, "order_item_id")
         # The range of the attribution is open on both sides, unlike that of the orders.

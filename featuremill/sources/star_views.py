@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from featuremill.functions import hexgrid
 from featuremill.operators.rows import first_row
-from featuremill.operators.staging import Stage, no_stage
+from featuremill.operators.staging import Stage, no_stage, tasks_for
 
 ANCHOR = date(2024, 1, 31)
 
@@ -58,6 +58,11 @@ class StarViews:
         )
         return unique.join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
 
+    @cached_property
+    def item_tasks(self) -> int:
+        """Tasks for steps that hold rows of all order items."""
+        return tasks_for(self.spark, self.table("lineitem").count())
+
     @staticmethod
     def order_instant() -> str:
         return (

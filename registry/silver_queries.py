@@ -38,7 +38,7 @@ def funnel(v: StarViews):
 
 
 def query_orders(v: StarViews):
-    return items.query_item_orders(v.order_items, v.sku, v.attribution, *ORDER_DAYS)
+    return items.query_item_orders(v.order_items, v.sku, v.attribution, *ORDER_DAYS, tasks=v.item_tasks)
 
 
 def item_prices(v: StarViews):

@@ -5,7 +5,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from featuremill.operators.staging import write_stage
+from featuremill.operators.staging import tasks_for, write_stage
 from featuremill.plans import accounts, geo, ranking
 from featuremill.plans import item_gold as gold
 from featuremill.plans import item_silver as items
@@ -237,6 +237,17 @@ def test_dictionary_appends_only_new_queries(spark):
     assert [(r.query_text, r.query_id, r.version) for r in got] == [("b a", "a b", "v1")]
 
 
+def test_tasks_of_the_item_join(spark, sku):
+    """The given number of tasks is that of the join, whatever adaptive execution would merge."""
+    df = order_items(spark, [(i, i, 1, at(5), at(6), None, "COMPLETED", 1, 0) for i in range(40)])
+    attr = df.select("order_item_id", "generated_at", F.lit("shoes").alias("query"), F.lit("SEARCH").alias("widget_space_name"))
+    days = (date(2024, 1, 1), date(2024, 1, 20))
+    got = items.query_item_orders(df, sku, attr, *days, tasks=23)
+    assert sorted(got.collect()) == sorted(items.query_item_orders(df, sku, attr, *days).collect())
+    assert got._jdf.queryExecution().executedPlan().toString().count(", 23), REPARTITION_BY_NUM") >= 2
+    assert [tasks_for(spark, n, 10) for n in (0, 80, 81, 1001)] == [8, 8, 9, 101]
+
+
 def account_history(spark, rows):
     ddl = ("analyze_date date, account_id bigint, order_id bigint, order_item_id bigint, generated_at timestamp_ntz, delivered_at timestamp_ntz, issued_at timestamp_ntz,"
            " returned_at timestamp_ntz, delivery_type string, payment_type string, order_city_id bigint, order_region_id bigint, delivery_point_id bigint,"
