@@ -127,8 +127,10 @@ def account_asof_history(
 
     The orders are used five times; pass a ``stage`` to compute them once.
     """
-    orders = stage(order_outcomes(item_outcomes(history, as_of), as_of, tz))
+    return _asof_features(stage(order_outcomes(item_outcomes(history, as_of), as_of, tz)), as_of, tz)
 
+
+def _asof_features(orders: DataFrame, as_of: date, tz: str) -> DataFrame:
     def total(c: str, cond: Column | None = None) -> Column:
         value = F.col(c) if cond is None else F.when(cond, F.col(c))
         return F.coalesce(F.sum(value), F.lit(0))
@@ -138,7 +140,9 @@ def account_asof_history(
     spans = {"win": F.lit(True), "90d": F.col("days_ago") <= 90, "30d": F.col("days_ago") <= 30}
     prepaid = ~F.col("is_postpaid") & ~F.col("is_instalment")
     ticket = F.col("gmv_generated")
-    agg = orders.groupBy("account_id").agg(
+    # Placed before the aggregation: accounts have few orders, so partial results with their sets and
+    # quantile sketches would be as many as the orders and wider.
+    agg = orders.repartition("account_id").groupBy("account_id").agg(
         F.count(F.lit(1)).alias("n_orders_win"),
         F.count_if("is_delivered_order").alias("n_delivered_orders_win"),
         F.count_if("is_resolved").alias("n_resolved_orders_win"),
@@ -260,13 +264,13 @@ def account_asof_history(
     )
 
 
-def orders_created(order_items: DataFrame, as_of: date, tz: str = BUSINESS_TZ) -> DataFrame:
-    """Orders created in the last 1..365 times 24 hours before the end of the business day."""
+def _created_orders(order_items: DataFrame, as_of: date, tz: str) -> DataFrame:
+    """Creation instants of the orders that were created before the end of the business day."""
     end = utc_midnight(as_of + timedelta(days=1), tz)
     scan_from = utc_midnight(as_of - timedelta(days=CREATION_DAYS + CREATION_SLACK_DAYS), tz)
     # Payment may come later than creation, hence the slack on both sides.
     scan_to = utc_midnight(as_of + timedelta(days=3), tz)
-    orders = (
+    return (
         order_items.where(
             between_instants(F.col("purchased_at"), scan_from, scan_to)
             & (F.col("account_id") > 0)
@@ -276,23 +280,41 @@ def orders_created(order_items: DataFrame, as_of: date, tz: str = BUSINESS_TZ) -
         .agg(F.min("generated_at").alias("created"))
         .where(F.col("created") < ts(end))
     )
-    age = F.timestamp_diff("SECOND", F.col("created"), ts(end))
+
+
+def _creation_counts(orders: DataFrame, as_of: date, tz: str) -> DataFrame:
+    age = F.timestamp_diff("SECOND", F.col("created"), ts(utc_midnight(as_of + timedelta(days=1), tz)))
     return orders.groupBy("account_id").agg(
         *[F.count_if(age <= d * 86400).alias(f"orders_created_prev_{d}d") for d in (1, 7, 30, 90, CREATION_DAYS)]
     )
 
 
+def orders_created(order_items: DataFrame, as_of: date, tz: str = BUSINESS_TZ) -> DataFrame:
+    """Orders created in the last 1..365 times 24 hours before the end of the business day."""
+    return _creation_counts(_created_orders(order_items, as_of, tz), as_of, tz)
+
+
 def account_buyout_history(
     history: DataFrame, order_items: DataFrame, lifetime_facts: DataFrame, as_of: date, tz: str = BUSINESS_TZ,
     stage: Stage = no_stage,
 ) -> DataFrame:
-    """As-of history, creation counters and lifetime facts of each account of the snapshot."""
+    """As-of history, creation counters and lifetime facts of each account of the snapshot.
+
+    Outcomes and creation instants of the orders go into one frame: computed in
+    one plan, they share the shuffle where snapshot and order items are made
+    from the same rows.
+    """
     facts = partition(lifetime_facts, as_of).drop("date")
     first_ever = F.col("first_order_date_ever")
     age = lambda c: F.datediff(day(as_of), c).cast("int")
+    outcomes = order_outcomes(item_outcomes(history, as_of), as_of, tz)
+    # Only orders of the second kind have a creation instant. Their id is not needed; without it, the union
+    # keeps the tasks of the two apart.
+    created = _created_orders(order_items, as_of, tz).select("account_id", "created")
+    both = stage(outcomes.unionByName(created, allowMissingColumns=True))
     return (
-        account_asof_history(history, as_of, tz, stage)
-        .join(orders_created(order_items, as_of, tz), "account_id", "left")
+        _asof_features(both.where("created is null").drop("created"), as_of, tz)
+        .join(_creation_counts(both.where("created is not null"), as_of, tz), "account_id", "left")
         .join(facts, "account_id", "left")
         .select(
             day(as_of).alias("date"), "*",

@@ -293,6 +293,29 @@ def test_orders_created_at_the_business_midnight(spark):
     assert [(r.account_id, r.orders_created_prev_1d, r.orders_created_prev_7d) for r in got] == [(1, 2, 3)]
 
 
+def test_history_and_creations_are_staged_together(spark, tmp_path):
+    """Snapshot and order items go into one staged plan; nothing after it reads the items again."""
+    made = [(1, 1, at(1), at(2), at(3), None, "COMPLETED", None), (2, 2, at(5), at(6), None, at(12), "RETURNED", "CANCELED"), (2, 3, at(4), at(6), at(7), None, "COMPLETED", None)]
+    rows = account_history(spark, made).withColumns({"purchased_at": F.col("generated_at"), "order_item_status": F.lit("ACTIVE")})
+    # An order without a row in the snapshot, an account without any, and no account.
+    more = rows.where("order_item_id = 1").selectExpr("* except (order_id, account_id, analyze_date)", "explode(array(9L, 10L, 11L)) as order_id").selectExpr(
+        "*", "case order_id when 9 then 1L when 10 then 2L else 0L end as account_id", "date'2023-01-01' as analyze_date")
+    rows.unionByName(more).write.parquet(str(tmp_path / "items"))
+    placed = spark.read.parquet(str(tmp_path / "items"))
+    facts = spark.createDataFrame([(D, 1, date(2023, 1, 1), date(2022, 1, 1))], "date date, account_id bigint, first_order_date_ever date, registration_date date")
+    staged = []
+
+    def stage(df):
+        staged.append(df)
+        return write_stage(str(tmp_path / "staged"))(df)
+
+    got = accounts.account_buyout_history(placed, placed, facts, D, stage=stage)
+    plain = accounts.account_buyout_history(placed, placed, facts, D)
+    assert got.collect() == plain.collect()
+    assert [(r.account_id, r.n_orders_win, r.orders_created_prev_30d, r.orders_created_prev_365d) for r in got.collect()] == [(1, 2, 1, 3)]
+    assert len(staged) == 1 and not any("/items/" in f for f in got.inputFiles())
+
+
 def test_neighbour_orders_ages_and_distance(spark):
     from featuremill.functions import hexgrid
 
