@@ -24,6 +24,7 @@ from featuremill.operators.attribution import last_before
 from featuremill.operators.relevance import field_scores
 from featuremill.operators.rows import first_row, top_list
 from featuremill.operators.skew import lookup_where
+from featuremill.operators.staging import Stage, no_stage
 from featuremill.operators.state_table import StateTable
 
 # Fixed values of the event model.
@@ -91,11 +92,14 @@ def _section_or_zero(category: Column, section: Column) -> Column:
     return F.coalesce(real, section.try_cast("bigint"), F.lit(0)).cast("string")
 
 
-def search_funnel_daily(events: DataFrame, sku: DataFrame, start: date, end: date) -> DataFrame:
+def search_funnel_daily(
+    events: DataFrame, sku: DataFrame, start: date, end: date, stage: Stage = no_stage
+) -> DataFrame:
     """Impressions, clicks and carts per install, item, space and query (or category).
 
     Clicks and carts go to the impression that immediately precedes them among
-    the impressions and clicks (or carts) of the same session and product.
+    the impressions and clicks (or carts) of the same session and product. Looking
+    back uses the events three times; pass a ``stage`` to read and look them up once.
     """
     used = events.where(
         between_instants(F.col("received_at"), day_start(start), day_start(end))
@@ -112,7 +116,7 @@ def search_funnel_daily(events: DataFrame, sku: DataFrame, start: date, end: dat
         # Events without a product look back at nothing: each is a group of its own.
         F.coalesce(F.col("product_id").cast("string"), F.concat(F.lit("event "), "event_id")).alias("product"),
     ]
-    rows = lookup_where(used, groups, "sku_id", lacking, ["event_id"]).select(
+    rows = stage(lookup_where(used, groups, "sku_id", lacking, ["event_id"]).select(
         *group,
         "logged_at", "event_id", "event_type",
         F.col("product_id").isNotNull().alias("has_product"),
@@ -132,7 +136,7 @@ def search_funnel_daily(events: DataFrame, sku: DataFrame, start: date, end: dat
             F.lit(""),
         ).alias("search_text"),
         _section_or_zero(F.col("category_id"), F.col("widget_section_id")).alias("category_text"),
-    )
+    ))
     looked_back = last_before(
         rows, ["date", "session_id", "product"], "logged_at", "event_id",
         {

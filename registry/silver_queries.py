@@ -34,7 +34,7 @@ def rounded(df, digits: int = 6, only=None):
 
 
 def funnel(v: StarViews):
-    return search.search_funnel_daily(v.clickstream, v.sku, *CLICK_DAYS)
+    return search.search_funnel_daily(v.clickstream, v.sku, *CLICK_DAYS, stage=v.stage)
 
 
 def query_orders(v: StarViews):
